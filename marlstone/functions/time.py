@@ -1,27 +1,41 @@
-"""Time conversions that do not depend on the session's zone."""
+"""Time conversions whose results do not depend on the session's zone."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Canonical text of an ingestion time, always UTC, six digits.
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# Fixed value: ending of the canonical ingestion time, a UTC text with six
+# fraction digits, e.g. 2026-03-01T05:17:08.433794+00:00.
 UTC_SUFFIX = "+00:00"
 
+_SECONDS_PER_DAY = 86_400
+
 
 def utc_wall_clock(ts: Column) -> Column:
     """TIMESTAMP -> TIMESTAMP_NTZ showing the UTC wall clock."""
-    return F.to_utc_timestamp(ts, F.current_timezone()).cast("timestamp_ntz")
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    return epoch + F.expr("INTERVAL '0.000001' SECOND") * F.unix_micros(ts)
 
 
 def from_utc_wall_clock(ntz: Column) -> Column:
     """TIMESTAMP_NTZ read as UTC -> TIMESTAMP."""
-    return F.from_utc_timestamp(ntz.cast("timestamp"), F.current_timezone())
+    return F.to_timestamp(F.concat(ntz.cast("string"), F.lit(UTC_SUFFIX)))
 
 
 def iso_utc(ts: Column) -> Column:
-    """Canonical text of a TIMESTAMP, e.g. 2026-03-01T05:17:08.433794+00:00."""
+    """Canonical text of a TIMESTAMP."""
+    return iso_wall_clock(utc_wall_clock(ts))
+
+
+def iso_wall_clock(ntz: Column) -> Column:
+    """Canonical text of a TIMESTAMP_NTZ that shows the UTC wall clock."""
+    text = ntz.cast("string")
     return F.concat(
-        F.date_format(utc_wall_clock(ts), ISO_FORMAT), F.lit(UTC_SUFFIX)
+        F.substring(text, 1, 10),
+        F.lit("T"),
+        F.substring(text, 12, 8),
+        F.lit("."),
+        F.rpad(F.substring(text, 21, 6), 6, "0"),
+        F.lit(UTC_SUFFIX),
     )
 
 
@@ -32,7 +46,8 @@ def from_iso(text: Column | str) -> Column:
 
 def utc_date(ts: Column) -> Column:
     """UTC calendar day of a TIMESTAMP."""
-    return F.to_date(utc_wall_clock(ts))
+    days = F.floor(F.unix_seconds(ts) / _SECONDS_PER_DAY)
+    return F.date_from_unix_date(days.cast("int"))
 
 
 def iso_date(text: Column) -> Column:

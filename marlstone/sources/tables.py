@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.functions.time import iso_date
 from marlstone.schemas import BRONZE, PARTITION_COLUMN
 
 # The layers.
@@ -90,15 +91,27 @@ class Warehouse:
         """Append only the rows that the table does not hold yet.
 
         A retried batch, whether its first attempt was committed wholly, partly
-        or not at all, leaves the table as one successful append would. Only
-        the days the batch touches are looked at.
+        or not at all, leaves the table with every row of the batch. The batch's
+        first and last ingestion time bound what is looked at: by partition,
+        and within it by the Parquet statistics of files, as each file holds
+        the ingestion times of one append.
         """
         self.create_bronze(table)
-        identity = [PARTITION_COLUMN, "coin_id", "ingested_at", "_row"]
+        first, last = batch.agg(F.min("ingested_at"), F.max("ingested_at")).first()
+        if first is None:
+            return
+        held = self.table(BRONZE_LAYER, table).where(
+            F.col("ingested_at").between(first, last)
+            & F.col(PARTITION_COLUMN).between(
+                iso_date(F.lit(first)), iso_date(F.lit(last))
+            )
+        )
         row = F.xxhash64("source_updated_at", "payload").alias("_row")
-        held = self.table(BRONZE_LAYER, table).select("*", row).select(*identity)
-        fresh = batch.select("*", row).join(held, identity, "left_anti")
-        self.append(table, fresh.drop("_row"))
+        identity = ["coin_id", "ingested_at", "_row"]
+        fresh = batch.select("*", row).join(
+            held.select("*", row).select(*identity), identity, "left_anti"
+        )
+        self.append(table, fresh)
 
     # -- models --------------------------------------------------------------
 
