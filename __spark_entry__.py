@@ -218,10 +218,9 @@ def stg_coin_details(spark, sf_dir):
     )
 
 
-def _stg_historical_prices(spark, sf_dir):
-    return silver.stg_historical_prices(
-        B.raw_historical_prices(_events(spark, sf_dir))
-    )
+def _stg_historical_prices(spark, sf_dir, ordered=True):
+    raw = B.raw_historical_prices(_events(spark, sf_dir))
+    return silver.stg_historical_prices(raw, ordered=ordered)
 
 
 def stg_historical_prices(spark, sf_dir):
@@ -240,7 +239,7 @@ def market_summary(spark, sf_dir):
 
 def price_history(spark, sf_dir):
     """Daily figures per user, whose points come in one or more payloads."""
-    points = _stg_historical_prices(spark, sf_dir).withColumn(
+    points = _stg_historical_prices(spark, sf_dir, ordered=False).withColumn(
         "coin_id", F.substring_index("coin_id", "-", 1)
     )
     return gold.price_history(points)
@@ -479,11 +478,14 @@ def _summary(markets: str, extra: str = "") -> str:
 
 
 def _history(points: str) -> str:
+    # Prices have two decimals. Their exact sum is taken, because a sum of
+    # doubles depends on the order of the rows and half cents are common.
     return f"""
         SELECT coin_id, CAST(price_timestamp AS DATE) AS price_date,
                round(min(price_usd), 2) AS low_price,
                round(max(price_usd), 2) AS high_price,
-               round(avg(price_usd), 2) AS avg_price,
+               round(CAST(sum(CAST(price_usd AS DECIMAL(18, 2))) AS DOUBLE)
+                     / count(price_usd), 2) AS avg_price,
                round(max(price_usd) - min(price_usd), 2) AS price_range,
                count(*) AS data_points, '{B.LOADED_AT}' AS ingested_at
         FROM ({points}) GROUP BY 1, 2"""

@@ -3,6 +3,10 @@
 A payload is parsed once into a VARIANT column; every path is then read from
 that column. Scalar reads return NULL for objects and arrays, as well as for
 missing fields and JSON nulls.
+
+Reads over a whole bronze table that need a few top-level fields use
+`top_level` and `top_level_scalar` instead: same results, but the reader skips
+over the other fields rather than building the whole document.
 """
 
 from pyspark.sql import Column
@@ -32,6 +36,26 @@ def json_scalar(document: Column | str, path: str) -> Column:
     return F.when(~nested, node.cast("string"))
 
 
+def top_level(payload: Column | str, names: list[str], strict: bool = True) -> Column:
+    """Struct of the named top-level fields as text, nested nodes as JSON text.
+
+    Malformed text fails, or gives NULL fields when not strict.
+    """
+    fields = ", ".join(f"`{name}` STRING" for name in names)
+    return F.from_json(payload, fields, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
+
+
+def top_level_scalar(fields: str, payload: str, name: str) -> Column:
+    """One field of a `top_level` struct, read as json_scalar would.
+
+    Only a text that may be a nested node needs the document's own word on it.
+    """
+    text = F.col(f"{fields}.{name}")
+    may_be_nested = text.startswith("{") | text.startswith("[")
+    node = json_scalar(F.try_parse_json(payload), f"$.{name}")
+    return F.when(may_be_nested, node).otherwise(text)
+
+
 def json_bigint(document: Column | str, path: str, strict: bool = True) -> Column:
     """Scalar at `path` as BIGINT. `7.0` reads as 7, `7.5` is malformed."""
     return _typed(document, path, "bigint", strict)

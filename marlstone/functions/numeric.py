@@ -1,11 +1,16 @@
 """Rounding and division with the results the marts are specified by."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # From 2^52 on a double has no fraction left, so rounding returns it unchanged.
 _NO_FRACTION = float(2**52)
 
+_FRACTION_UNIT = Decimal("0.00000001")
+_WHOLE_LIMIT = 1e9
+
 
 def round_half_up(value: Column, places: int) -> Column:
     """Round a double away from zero on binary ties: 1.005 -> 1.0, 0.125 -> 0.13.
@@ -23,6 +28,26 @@ def round_half_up(value: Column, places: int) -> Column:
     )
 
 
+def stable_avg(value: Column) -> Column:
+    """Average of doubles that does not depend on the order of the rows.
+
+    Adding doubles rounds at every step, so a plain average changes in its last
+    bits with partitioning and retries, and after rounding to cents in a whole
+    cent. Here whole parts and fractions (to 1e-8) are added as integers, which
+    is exact in any order and costs no more. Groups with magnitudes beyond 1e9,
+    NaN or infinities, or sums beyond a bigint, take the plain average.
+    """
+    whole = F.floor(value)
+    fraction = F.floor((value - whole) / float(_FRACTION_UNIT) + 0.5)
+    # Once per group, as decimals: the two sums still add up without rounding.
+    wholes, fractions = (
+        F.try_sum(part).cast("decimal(19,0)") for part in (whole, fraction)
+    )
+    total = (wholes + fractions * F.lit(_FRACTION_UNIT)).cast("double")
+    in_range = (F.min(value) > -_WHOLE_LIMIT) & (F.max(value) < _WHOLE_LIMIT)
+    return F.coalesce(F.when(in_range, total / F.count(value)), F.avg(value))
+
+
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient that is NULL for a zero or NULL denominator."""
     return numerator / F.nullif(denominator, F.lit(0.0))

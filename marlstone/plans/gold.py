@@ -3,21 +3,29 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.numeric import billions, round_half_up, safe_ratio
+from marlstone.functions.numeric import (
+    billions,
+    round_half_up,
+    safe_ratio,
+    stable_avg,
+)
 from marlstone.functions.time import utc_date
 from marlstone.operators.trend import trend_of
 
 
-def market_summary(stg_markets: DataFrame, with_coin_id: bool = False) -> DataFrame:
+def market_summary(
+    stg_markets: DataFrame, with_coin_id: bool = False, ordered: bool = True
+) -> DataFrame:
     """One row per coin, best market rank first, unranked coins last.
 
     `with_coin_id` adds the id the plain mart leaves out, for joins that must
-    not rely on symbols being unique. It also settles the order of equal ranks.
+    not rely on symbols being unique. The id also settles the order of equal
+    ranks, and lets the sort spread a rank that many coins share.
     """
     change = F.col("price_change_24h_pct")
-    summary = stg_markets.orderBy(
-        F.asc_nulls_last("market_cap_rank"), "coin_id"
-    ).select(
+    if ordered:
+        stg_markets = stg_markets.orderBy(F.asc_nulls_last("market_cap_rank"), "coin_id")
+    return stg_markets.select(
         *(["coin_id"] if with_coin_id else []),
         "market_cap_rank",
         "name",
@@ -33,16 +41,15 @@ def market_summary(stg_markets: DataFrame, with_coin_id: bool = False) -> DataFr
         ).alias("volume_to_mcap_ratio"),
         "ingested_at",
     )
-    return summary
 
 
-def price_history(stg_historical_prices: DataFrame) -> DataFrame:
+def price_history(stg_historical_prices: DataFrame, ordered: bool = True) -> DataFrame:
     """Low, high, average and range per coin and UTC day.
 
     Points without a price count as data points and nowhere else.
     """
     price = F.col("price_usd")
-    return (
+    history = (
         stg_historical_prices.groupBy(
             "coin_id",
             utc_date(F.col("price_timestamp")).alias("price_date"),
@@ -51,7 +58,7 @@ def price_history(stg_historical_prices: DataFrame) -> DataFrame:
         .agg(
             round_half_up(F.min(price), 2).alias("low_price"),
             round_half_up(F.max(price), 2).alias("high_price"),
-            round_half_up(F.avg(price), 2).alias("avg_price"),
+            round_half_up(stable_avg(price), 2).alias("avg_price"),
             round_half_up(F.max(price) - F.min(price), 2).alias("price_range"),
             F.count(F.lit(1)).alias("data_points"),
         )
@@ -65,8 +72,10 @@ def price_history(stg_historical_prices: DataFrame) -> DataFrame:
             "data_points",
             "ingested_at",
         )
-        .orderBy("coin_id", F.asc_nulls_last("price_date"), "ingested_at")
     )
+    if not ordered:
+        return history
+    return history.orderBy("coin_id", F.asc_nulls_last("price_date"), "ingested_at")
 
 
 def watchlist_enriched(

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.json import json_double, json_scalar, parse_payload
+from marlstone.functions.json import top_level, top_level_scalar
 from marlstone.functions.time import from_iso
 from marlstone.operators.series import direction_of
 from marlstone.operators.topn import top_n, top_n_per_key
@@ -55,18 +55,12 @@ def live_prices(
     Every batch counts, so this reads the payloads of the whole bronze table
     unless `since` bounds the days (a partition filter on a table at rest).
     """
-    target = F.lit(symbol.lower())
-    doc = (
-        _since(raw_markets, since)
-        .where(_may_mention(F.col("payload"), symbol.lower()))
-        .select("ingested_at", parse_payload("payload").alias("doc"))
+    target = symbol.lower()
+    observations = _observations(
+        _since(raw_markets, since).where(_may_mention(F.col("payload"), target))
     )
-    matches = doc.where(F.lower(json_scalar("doc", "$.symbol")) == target).select(
-        from_iso("ingested_at").alias("time"),
-        json_double("doc", "$.current_price").alias("live_price"),
-    )
-    newest_first = [F.desc_nulls_last("time"), F.desc_nulls_last("live_price")]
-    return top_n(matches, n, newest_first).orderBy(
+    matches = observations.where(F.col("symbol") == F.lit(target)).drop("symbol")
+    return top_n(matches, n, _newest_first()).orderBy(
         "time", F.asc_nulls_first("live_price")
     )
 
@@ -75,16 +69,12 @@ def live_prices_by_symbol(
     raw_markets: DataFrame, n: int = LIVE_POINTS, since: dt.date | None = None
 ) -> DataFrame:
     """The newest n observations of every symbol, symbols in lower case."""
-    doc = _since(raw_markets, since).select(
-        "ingested_at", parse_payload("payload").alias("doc")
-    )
-    points = doc.select(
-        F.lower(json_scalar("doc", "$.symbol")).alias("symbol"),
-        from_iso("ingested_at").alias("time"),
-        json_double("doc", "$.current_price").alias("live_price"),
-    ).where("symbol IS NOT NULL")
-    newest_first = [F.desc_nulls_last("time"), F.desc_nulls_last("live_price")]
-    return top_n_per_key(points, ["symbol"], n, newest_first)
+    # Unnesting an array of one or no row instead of filtering: a filter on the
+    # symbol would be pushed below its extraction and read the JSON twice.
+    row = F.array(F.struct("symbol", "time", "live_price"))
+    named = F.filter(row, lambda r: r["symbol"].isNotNull())
+    observations = _observations(_since(raw_markets, since)).select(F.inline(named))
+    return top_n_per_key(observations, ["symbol"], n, _newest_first())
 
 
 def price_direction(live: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -94,11 +84,13 @@ def price_direction(live: DataFrame, keys: list[str] | None = None) -> DataFrame
 
 def bronze_fields(raw_markets: DataFrame) -> DataFrame:
     """Name and price of every bronze row, read from the raw document."""
-    doc = raw_markets.select("coin_id", parse_payload("payload").alias("doc"))
-    return doc.select(
+    fields = top_level("payload", ["name", "current_price"]).alias("fields")
+    return raw_markets.select("coin_id", "payload", fields).select(
         "coin_id",
-        json_scalar("doc", "$.name").alias("name"),
-        json_double("doc", "$.current_price").alias("price"),
+        top_level_scalar("fields", "payload", "name").alias("name"),
+        top_level_scalar("fields", "payload", "current_price")
+        .cast("double")
+        .alias("price"),
     )
 
 
@@ -134,6 +126,22 @@ def fetch(df: DataFrame, limit: int) -> pd.DataFrame:
     return df.limit(limit).toPandas()
 
 
+def _observations(raw_markets: DataFrame) -> DataFrame:
+    """Symbol in lower case, time and price of every bronze row."""
+    fields = top_level("payload", ["symbol", "current_price"]).alias("fields")
+    return raw_markets.select("ingested_at", "payload", fields).select(
+        F.lower(top_level_scalar("fields", "payload", "symbol")).alias("symbol"),
+        from_iso("ingested_at").alias("time"),
+        top_level_scalar("fields", "payload", "current_price")
+        .cast("double")
+        .alias("live_price"),
+    )
+
+
+def _newest_first() -> list[Column]:
+    return [F.desc_nulls_last("time"), F.desc_nulls_last("live_price")]
+
+
 def _since(raw: DataFrame, day: dt.date | None) -> DataFrame:
     if day is None:
         return raw

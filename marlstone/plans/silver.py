@@ -90,25 +90,33 @@ def stg_coin_details(raw_coin_details: DataFrame, strict: bool = True) -> DataFr
 
 
 def stg_historical_prices(
-    raw_historical_prices: DataFrame, strict: bool = True
+    raw_historical_prices: DataFrame, strict: bool = True, ordered: bool = True
 ) -> DataFrame:
     """One row per price point of each coin's newest payload.
 
     The choice comes before the unnesting, so stale payloads are never parsed.
+    For the order by coin and time, the payloads are put into coin ranges while
+    still packed; their points then only need sorting within each range.
     """
-    doc = _parsed(newest_documents(raw_historical_prices, strict), strict)
-    points = doc.select(
+    newest = newest_documents(raw_historical_prices, strict)
+    if ordered:
+        newest = newest.repartitionByRange("coin_id")
+    doc = _parsed(newest, strict)
+    unnested = doc.select(
         "coin_id",
         "ingested_at",
         F.explode(json_pairs("doc", "$.prices", strict)).alias("point"),
     )
     at = F.element_at if strict else F.try_element_at
-    return points.select(
+    points = unnested.select(
         "coin_id",
         epoch_millis(at("point", F.lit(1))).alias("price_timestamp"),
         at("point", F.lit(2)).alias("price_usd"),
         "ingested_at",
-    ).orderBy("coin_id", F.asc_nulls_last("price_timestamp"))
+    )
+    if not ordered:
+        return points
+    return points.sortWithinPartitions("coin_id", F.asc_nulls_last("price_timestamp"))
 
 
 def _parsed(documents: DataFrame, strict: bool) -> DataFrame:

@@ -15,7 +15,8 @@ from marlstone.session import build_session  # noqa: E402
 def main(sf_dir: str, only: list[str]) -> int:
     spark = build_session(
         "oracle", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+           "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, failed = connect(sf_dir), entry.oracle_sql(), 0
