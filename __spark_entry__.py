@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from marlstone import bindings as B
 from marlstone import schemas as S
 from marlstone.functions import sql as sql_functions
-from marlstone.functions.json import json_bigint, parse_payload
+from marlstone.functions.json import as_bigint, parse_payload
+from marlstone.functions.json import json_scalar as scalar
 from marlstone.functions.time import utc_wall_clock
 from marlstone.operators.latest import latest_per_key as newest_row_per_key
 from marlstone.plans import checks, gold, jobs, serve, silver
@@ -104,7 +105,7 @@ def landing_markets(spark, sf_dir):
         ).select(
             "coin_id",
             "ingested_at",
-            json_bigint("doc", "$.market_cap_rank").alias("event_id"),
+            as_bigint(scalar("doc", "$.market_cap_rank")).alias("event_id"),
         )
     )
 
@@ -200,7 +201,7 @@ def json_scalar(spark, sf_dir):
     doc = _events(spark, sf_dir).select(
         "event_id", parse_payload("props").alias("doc")
     )
-    return doc.select("event_id", json_bigint("doc", "$.k").alias("k"))
+    return doc.select("event_id", as_bigint(scalar("doc", "$.k")).alias("k"))
 
 
 # -- silver -------------------------------------------------------------------

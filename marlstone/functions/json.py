@@ -9,7 +9,7 @@ Reads over a whole bronze table that need a few top-level fields use
 over the other fields rather than building the whole document.
 """
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,16 +24,40 @@ def is_malformed(payload: Column | str) -> Column:
     return text.isNotNull() & F.try_parse_json(text).isNull()
 
 
-def json_scalar(document: Column | str, path: str) -> Column:
+def json_scalar(document: str, path: str) -> Column:
     """Text of the scalar at `path`; NULL where the node is an object or array.
 
     The node's own type decides, so a string that merely begins with a brace is
-    still returned.
+    still returned. `document` is a VARIANT column or expression in SQL.
     """
-    node = F.variant_get(document, path, "variant")
-    kind = F.schema_of_variant(node)
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return F.when(~nested, node.cast("string"))
+    return F.expr(_scalar_sql(document, path))
+
+
+def with_scalars(df: DataFrame, document: str, paths: dict[str, str]) -> DataFrame:
+    """Add many json_scalar reads of one document, each path looked up once.
+
+    Texts are taken first, with nested nodes as JSON text, and checked in a
+    projection of their own: only a text that may be a nested node needs the
+    node's type.
+    """
+    texts = [f"variant_get({document}, '{p}', 'string') AS {c}" for c, p in paths.items()]
+    checked = [f"{_unless_nested(c, document, p)} AS {c}" for c, p in paths.items()]
+    return df.selectExpr("*", *texts).selectExpr(*df.columns, *checked)
+
+
+def _scalar_sql(document: str, path: str) -> str:
+    node = f"variant_get({document}, '{path}', 'variant')"
+    return (
+        f"CASE WHEN left(schema_of_variant({node}), 5) NOT IN ('OBJEC', 'ARRAY') "
+        f"THEN CAST({node} AS STRING) END"
+    )
+
+
+def _unless_nested(text: str, document: str, path: str) -> str:
+    return (
+        f"CASE WHEN left({text}, 1) IN ('{{', '[') "
+        f"THEN {_scalar_sql(document, path)} ELSE {text} END"
+    )
 
 
 def top_level(payload: Column | str, names: list[str], strict: bool = True) -> Column:
@@ -50,19 +74,17 @@ def top_level_scalar(fields: str, payload: str, name: str) -> Column:
 
     Only a text that may be a nested node needs the document's own word on it.
     """
-    text = F.col(f"{fields}.{name}")
-    may_be_nested = text.startswith("{") | text.startswith("[")
-    node = json_scalar(F.try_parse_json(payload), f"$.{name}")
-    return F.when(may_be_nested, node).otherwise(text)
+    document = f"try_parse_json({payload})"
+    return F.expr(_unless_nested(f"{fields}.{name}", document, f"$.{name}"))
 
 
-def json_bigint(document: Column | str, path: str, strict: bool = True) -> Column:
-    """Scalar at `path` as BIGINT. `7.0` reads as 7, `7.5` is malformed."""
-    return _typed(document, path, "bigint", strict)
+def as_bigint(text: Column | str, strict: bool = True) -> Column:
+    """BIGINT of a scalar's text: `7.0` was read as 7, `7.5` is malformed."""
+    return _typed(text, "bigint", strict)
 
 
-def json_double(document: Column | str, path: str, strict: bool = True) -> Column:
-    return _typed(document, path, "double", strict)
+def as_double(text: Column | str, strict: bool = True) -> Column:
+    return _typed(text, "double", strict)
 
 
 def json_pairs(document: Column | str, path: str, strict: bool = True) -> Column:
@@ -71,6 +93,6 @@ def json_pairs(document: Column | str, path: str, strict: bool = True) -> Column
     return get(document, path, "array<array<double>>")
 
 
-def _typed(document: Column | str, path: str, kind: str, strict: bool) -> Column:
-    text = json_scalar(document, path)
+def _typed(text: Column | str, kind: str, strict: bool) -> Column:
+    text = F.col(text) if isinstance(text, str) else text
     return text.cast(kind) if strict else text.try_cast(kind)

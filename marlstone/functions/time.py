@@ -18,7 +18,10 @@ def utc_wall_clock(ts: Column) -> Column:
 
 def from_utc_wall_clock(ntz: Column) -> Column:
     """TIMESTAMP_NTZ read as UTC -> TIMESTAMP."""
-    return F.to_timestamp(F.concat(ntz.cast("string"), F.lit(UTC_SUFFIX)))
+    hours = F.unix_date(ntz.cast("date")).cast("bigint") * 24 + F.hour(ntz)
+    seconds = (hours * 60 + F.minute(ntz)) * 60
+    micros = (F.extract(F.lit("SECOND"), ntz) * 1_000_000).cast("bigint")
+    return F.timestamp_micros(seconds * 1_000_000 + micros)
 
 
 def iso_utc(ts: Column) -> Column:

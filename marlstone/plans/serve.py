@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.json import top_level, top_level_scalar
+from marlstone.functions.json import as_double, top_level, top_level_scalar
 from marlstone.functions.time import from_iso
 from marlstone.operators.series import direction_of
 from marlstone.operators.topn import top_n, top_n_per_key
@@ -88,9 +88,7 @@ def bronze_fields(raw_markets: DataFrame) -> DataFrame:
     return raw_markets.select("coin_id", "payload", fields).select(
         "coin_id",
         top_level_scalar("fields", "payload", "name").alias("name"),
-        top_level_scalar("fields", "payload", "current_price")
-        .cast("double")
-        .alias("price"),
+        as_double(top_level_scalar("fields", "payload", "current_price")).alias("price"),
     )
 
 
@@ -132,9 +130,9 @@ def _observations(raw_markets: DataFrame) -> DataFrame:
     return raw_markets.select("ingested_at", "payload", fields).select(
         F.lower(top_level_scalar("fields", "payload", "symbol")).alias("symbol"),
         from_iso("ingested_at").alias("time"),
-        top_level_scalar("fields", "payload", "current_price")
-        .cast("double")
-        .alias("live_price"),
+        as_double(top_level_scalar("fields", "payload", "current_price")).alias(
+            "live_price"
+        ),
     )
 
 

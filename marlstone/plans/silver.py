@@ -4,17 +4,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions.json import (
+    as_bigint,
+    as_double,
     is_malformed,
-    json_bigint,
-    json_double,
     json_pairs,
-    json_scalar,
     parse_payload,
+    with_scalars,
 )
 from marlstone.functions.time import epoch_millis
 from marlstone.operators.latest import keep_newest_days, latest_per_key
 from marlstone.schemas import PARTITION_COLUMN
 
+# Where the documents hold the silver columns.
+MARKET_PATHS = {
+    "symbol": "$.symbol",
+    "name": "$.name",
+    "market_cap_rank": "$.market_cap_rank",
+    "current_price": "$.current_price",
+    "market_cap": "$.market_cap",
+    "total_volume": "$.total_volume",
+    "price_change_24h_pct": "$.price_change_percentage_24h",
+}
+COIN_DETAIL_PATHS = {
+    "symbol": "$.symbol",
+    "name": "$.name",
+    "hashing_algorithm": "$.hashing_algorithm",
+    "genesis_date": "$.genesis_date",
+    "homepage": "$.links.homepage[0]",
+    "current_price_usd": "$.market_data.current_price.usd",
+    "market_cap_usd": "$.market_data.market_cap.usd",
+    "total_volume_usd": "$.market_data.total_volume.usd",
+    "price_change_24h_pct": "$.market_data.price_change_percentage_24h",
+    "twitter_followers": "$.community_data.twitter_followers",
+}
+
 
 def newest_documents(raw: DataFrame, strict: bool = True) -> DataFrame:
     """The newest bronze row per coin.
@@ -46,18 +69,16 @@ def quarantined(raw: DataFrame) -> DataFrame:
 
 def market_columns(documents: DataFrame, strict: bool = True) -> DataFrame:
     """Typed columns of market documents, one row in, one row out."""
-    doc = _parsed(documents, strict)
-    return doc.select(
+    fields = with_scalars(_parsed(documents, strict), "doc", MARKET_PATHS)
+    return fields.select(
         "coin_id",
-        json_scalar("doc", "$.symbol").alias("symbol"),
-        json_scalar("doc", "$.name").alias("name"),
-        json_bigint("doc", "$.market_cap_rank", strict).alias("market_cap_rank"),
-        json_double("doc", "$.current_price", strict).alias("current_price"),
-        json_double("doc", "$.market_cap", strict).alias("market_cap"),
-        json_double("doc", "$.total_volume", strict).alias("total_volume"),
-        json_double("doc", "$.price_change_percentage_24h", strict).alias(
-            "price_change_24h_pct"
-        ),
+        "symbol",
+        "name",
+        as_bigint("market_cap_rank", strict).alias("market_cap_rank"),
+        as_double("current_price", strict).alias("current_price"),
+        as_double("market_cap", strict).alias("market_cap"),
+        as_double("total_volume", strict).alias("total_volume"),
+        as_double("price_change_24h_pct", strict).alias("price_change_24h_pct"),
         "ingested_at",
     )
 
@@ -67,24 +88,20 @@ def stg_markets(raw_markets: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def stg_coin_details(raw_coin_details: DataFrame, strict: bool = True) -> DataFrame:
-    doc = _parsed(newest_documents(raw_coin_details, strict), strict)
-    usd = "$.market_data.{}.usd".format
-    return doc.select(
+    documents = newest_documents(raw_coin_details, strict)
+    fields = with_scalars(_parsed(documents, strict), "doc", COIN_DETAIL_PATHS)
+    return fields.select(
         "coin_id",
-        json_scalar("doc", "$.symbol").alias("symbol"),
-        json_scalar("doc", "$.name").alias("name"),
-        json_scalar("doc", "$.hashing_algorithm").alias("hashing_algorithm"),
-        json_scalar("doc", "$.genesis_date").alias("genesis_date"),
-        json_scalar("doc", "$.links.homepage[0]").alias("homepage"),
-        json_double("doc", usd("current_price"), strict).alias("current_price_usd"),
-        json_double("doc", usd("market_cap"), strict).alias("market_cap_usd"),
-        json_double("doc", usd("total_volume"), strict).alias("total_volume_usd"),
-        json_double(
-            "doc", "$.market_data.price_change_percentage_24h", strict
-        ).alias("price_change_24h_pct"),
-        json_bigint("doc", "$.community_data.twitter_followers", strict).alias(
-            "twitter_followers"
-        ),
+        "symbol",
+        "name",
+        "hashing_algorithm",
+        "genesis_date",
+        "homepage",
+        as_double("current_price_usd", strict).alias("current_price_usd"),
+        as_double("market_cap_usd", strict).alias("market_cap_usd"),
+        as_double("total_volume_usd", strict).alias("total_volume_usd"),
+        as_double("price_change_24h_pct", strict).alias("price_change_24h_pct"),
+        as_bigint("twitter_followers", strict).alias("twitter_followers"),
         "ingested_at",
     )
 

@@ -1,0 +1,60 @@
+import sys
+import uuid
+from pathlib import Path
+
+import pytest
+
+sys.path[:0] = [str(Path(__file__).parents[1]), str(Path(__file__).parent)]
+
+from marlstone.session import build_session  # noqa: E402
+from marlstone.sources.tables import LAYERS, Warehouse  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests",
+        "local[4]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def wh(spark, tmp_path):
+    tag = uuid.uuid4().hex[:8]
+    return Warehouse(
+        spark, str(tmp_path / "wh"), {layer: f"t{tag}_{layer}" for layer in LAYERS}
+    )
+
+
+@pytest.fixture
+def bronze(spark):
+    """Bronze rows from (coin_id, ingested_at, payload[, source_updated_at])."""
+
+    def make(*rows):
+        full = [(r[0], r[3] if len(r) > 3 else None, r[1], r[2]) for r in rows]
+        return spark.createDataFrame(
+            full,
+            "coin_id string, source_updated_at string, ingested_at string, payload string",
+        )
+
+    return make
+
+
+@pytest.fixture
+def in_zone(spark):
+    """Run the rest of a test under another session zone."""
+
+    def switch(zone):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+    yield switch
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
