@@ -1,6 +1,7 @@
 """Serving queries over gold, and live queries straight on bronze."""
 
 import datetime as dt
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -56,10 +57,11 @@ def live_prices(
     unless `since` bounds the days (a partition filter on a table at rest).
     """
     target = symbol.lower()
-    observations = _observations(
-        _since(raw_markets, since).where(_may_mention(F.col("payload"), target))
+    candidates = _since(raw_markets, since).where(
+        _may_mention(F.col("payload"), target)
     )
-    matches = observations.where(F.col("symbol") == F.lit(target)).drop("symbol")
+    matches = _observations(candidates, lambda symbol: symbol == F.lit(target))
+    matches = matches.select("time", "live_price")
     return top_n(matches, n, _newest_first()).orderBy(
         "time", F.asc_nulls_first("live_price")
     )
@@ -69,11 +71,7 @@ def live_prices_by_symbol(
     raw_markets: DataFrame, n: int = LIVE_POINTS, since: dt.date | None = None
 ) -> DataFrame:
     """The newest n observations of every symbol, symbols in lower case."""
-    # Unnesting an array of one or no row instead of filtering: a filter on the
-    # symbol would be pushed below its extraction and read the JSON twice.
-    row = F.array(F.struct("symbol", "time", "live_price"))
-    named = F.filter(row, lambda r: r["symbol"].isNotNull())
-    observations = _observations(_since(raw_markets, since)).select(F.inline(named))
+    observations = _observations(_since(raw_markets, since), Column.isNotNull)
     return top_n_per_key(observations, ["symbol"], n, _newest_first())
 
 
@@ -124,16 +122,23 @@ def fetch(df: DataFrame, limit: int) -> pd.DataFrame:
     return df.limit(limit).toPandas()
 
 
-def _observations(raw_markets: DataFrame) -> DataFrame:
-    """Symbol in lower case, time and price of every bronze row."""
+def _observations(
+    raw_markets: DataFrame, keep: Callable[[Column], Column]
+) -> DataFrame:
+    """Symbol in lower case, time and price of the rows whose symbol is kept.
+
+    The row is put into an array that is filtered and unnested. A plain filter
+    on the symbol would be pushed below its extraction and read the JSON twice.
+    """
     fields = top_level("payload", ["symbol", "current_price"]).alias("fields")
-    return raw_markets.select("ingested_at", "payload", fields).select(
+    price = as_double(top_level_scalar("fields", "payload", "current_price"))
+    row = F.struct(
         F.lower(top_level_scalar("fields", "payload", "symbol")).alias("symbol"),
         from_iso("ingested_at").alias("time"),
-        as_double(top_level_scalar("fields", "payload", "current_price")).alias(
-            "live_price"
-        ),
+        price.alias("live_price"),
     )
+    kept = F.filter(F.array(row), lambda r: keep(r["symbol"]))
+    return raw_markets.select("ingested_at", "payload", fields).select(F.inline(kept))
 
 
 def _newest_first() -> list[Column]:

@@ -65,13 +65,25 @@ class Warehouse:
     # -- bronze --------------------------------------------------------------
 
     def create_bronze(self, table: str) -> None:
-        """Create the table if it is missing; an existing one is left alone."""
+        """Create the table if it is missing; an existing one is left alone.
+
+        The table is external, as bronze is the record everything else is
+        rebuilt from: dropping it keeps the files, and creating it over files
+        that are already there, under a new catalog say, takes them in.
+        """
         self.create_layers()
+        if self.exists(BRONZE_LAYER, table):
+            return
+        name, path = self.name(BRONZE_LAYER, table), f"{self.path(BRONZE_LAYER)}/{table}"
+        # Appending no rows makes sure that the folder exists.
+        empty = self.spark.createDataFrame([], BRONZE)
+        empty.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in BRONZE)
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name(BRONZE_LAYER, table)} ({columns}) "
-            f"USING parquet PARTITIONED BY ({PARTITION_COLUMN})"
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+            f"PARTITIONED BY ({PARTITION_COLUMN}) LOCATION '{path}'"
         )
+        self.spark.catalog.recoverPartitions(name)
 
     def append(self, table: str, batch: DataFrame) -> None:
         """Append envelope rows as they are: no update, no deduplication.

@@ -27,7 +27,7 @@ def differences(
 ) -> dict:
     """Rows on one side only, and column names where those differ."""
     got = query(spark, sf_dir).toArrow()
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     names = sorted(got.column_names)
     if names != sorted(want.column_names):
         return {"columns": (names, sorted(want.column_names))}

@@ -8,7 +8,7 @@ from marlstone import schemas as S
 from marlstone.plans import jobs, serve
 from marlstone.session import shared_dir
 from marlstone.sources.landing import envelope
-from marlstone.sources.tables import BRONZE_LAYER, GOLD_LAYER, SILVER_LAYER
+from marlstone.sources.tables import BRONZE_LAYER, GOLD_LAYER, SILVER_LAYER, Warehouse
 
 
 def batch(bronze, stamp, *rows):
@@ -40,6 +40,15 @@ def test_creating_a_table_again_leaves_it_alone(wh, bronze):
     assert wh.table(BRONZE_LAYER, S.RAW_MARKETS).count() == 1
 
 
+def test_a_new_catalog_takes_in_the_files(wh, bronze, spark):
+    wh.append(S.RAW_MARKETS, batch(bronze, DAY1, ("btc", "{}")))
+    schemas = {layer: f"{schema}_again" for layer, schema in wh.schemas.items()}
+    again = Warehouse(spark, wh.root, schemas)
+    again.append(S.RAW_MARKETS, batch(bronze, DAY2, ("eth", "{}")))
+    rows = again.table(BRONZE_LAYER, S.RAW_MARKETS).collect()
+    assert sorted(r.coin_id for r in rows) == ["btc", "eth"]
+
+
 def test_append_once_after_nothing_part_or_all_was_committed(wh, bronze):
     rows = [("btc", "{}"), ("eth", '{"a": 1}'), ("eth", '{"a": 2}')]
     whole = batch(bronze, DAY1, *rows)
