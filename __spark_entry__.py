@@ -120,9 +120,7 @@ def landing_coin_details(spark, sf_dir):
 
 def landing_historical_prices(spark, sf_dir):
     responses = B.historical_price_responses(_events(spark, sf_dir))
-    records = landing.historical_prices_records(
-        responses.where(F.col("ingested_at") == B.LOADED_AT)
-    )
+    records = landing.historical_prices_records(responses)
     return landing.envelope(records, B.LOADED_AT).select(
         "coin_id", "source_updated_at", "ingested_at"
     )
@@ -299,6 +297,14 @@ def live_prices_since(spark, sf_dir):
     return live.withColumn("time", utc_wall_clock(F.col("time")))
 
 
+def live_prices_newest_days(spark, sf_dir):
+    """The same series from a written table, reading only the days it needs."""
+    wh = _warehouse(spark, "live_prices_newest_days")
+    wh.append(S.RAW_MARKETS, B.with_day(_raw_markets(spark, sf_dir)))
+    live = jobs.newest_live_prices(wh, SYMBOL)
+    return live.withColumn("time", utc_wall_clock(F.col("time")))
+
+
 def price_direction(spark, sf_dir):
     live = serve.live_prices_by_symbol(_raw_markets(spark, sf_dir))
     return serve.price_direction(live, ["symbol"])
@@ -423,6 +429,7 @@ def queries() -> dict[str, Query]:
             coin_header,
             live_prices,
             live_prices_since,
+            live_prices_newest_days,
             price_direction,
             cross_layer,
             top_market_cap,
@@ -527,6 +534,11 @@ _LIVE = """
         FROM events"""
 
 
+_NEWEST_LIVE = f"""
+        SELECT time, live_price FROM ({_LIVE}) WHERE symbol = 'error'
+        ORDER BY time DESC LIMIT {serve.LIVE_POINTS}"""
+
+
 def oracle_sql() -> dict[str, str]:
     refreshed = f"""
         SELECT o_custkey AS user_id, c_name AS username, m.symbol AS coin_id,
@@ -555,7 +567,7 @@ def oracle_sql() -> dict[str, str]:
         "landing_historical_prices": f"""
             SELECT coin_id, CAST(NULL AS VARCHAR) AS source_updated_at,
                    '{B.LOADED_AT}' AS ingested_at
-            FROM ({_CHUNKS})""",
+            FROM (SELECT * FROM ({_CHUNKS}) UNION ALL SELECT * FROM ({_CHUNKS}))""",
         "rejected_records": """
             SELECT CAST(event_id AS VARCHAR) AS coin_id, '{"cut' AS payload
             FROM events WHERE event_type = 'error'""",
@@ -622,9 +634,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT name || ' (U' || coin_id || ')' AS title, current_price,
                    market_cap_billions, price_change_24h_pct
             FROM ({_summary(_stg_markets("user_id = 7"), "coin_id,")})""",
-        "live_prices": f"""
-            SELECT time, live_price FROM ({_LIVE}) WHERE symbol = 'error'
-            ORDER BY time DESC LIMIT {serve.LIVE_POINTS}""",
+        "live_prices": _NEWEST_LIVE,
+        "live_prices_newest_days": _NEWEST_LIVE,
         "live_prices_since": f"""
             SELECT time, live_price FROM ({_LIVE})
             WHERE symbol = 'error' AND time >= TIMESTAMP '2024-01-30'

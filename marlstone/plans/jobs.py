@@ -6,7 +6,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from marlstone import schemas as S
-from marlstone.plans import gold, silver
+from marlstone.plans import gold, serve, silver
 from marlstone.sources.tables import (
     BRONZE_LAYER,
     GOLD_LAYER,
@@ -78,3 +78,22 @@ def refresh_all(
 ) -> None:
     refresh_silver(wh, strict)
     refresh_gold(wh, user_watchlists, user_profiles, watch_on)
+
+
+def newest_live_prices(
+    wh: Warehouse, symbol: str, n: int = serve.LIVE_POINTS
+) -> DataFrame:
+    """serve.live_prices over as few of the newest days as hold n observations.
+
+    Exact: once n are found, every other day is older than all of them. A
+    symbol seen in each batch needs one day's files instead of the whole table;
+    one that is rare or gone widens the range fourfold at a time.
+    """
+    raw = wh.table(BRONZE_LAYER, S.RAW_MARKETS)
+    days, width = wh.days(S.RAW_MARKETS), 1
+    while width < len(days):
+        live = serve.live_prices(raw, symbol, n, since=days[width - 1])
+        if live.count() == n:
+            return live
+        width *= 4
+    return serve.live_prices(raw, symbol, n)

@@ -120,11 +120,17 @@ class Warehouse:
         )
         row = F.xxhash64("source_updated_at", "payload").alias("_row")
         identity = ["coin_id", "ingested_at", "_row"]
-        fresh = batch.select("*", row).join(
-            held.select("*", row).select(*identity), identity, "left_anti"
-        )
+        # Distinct, so that copies already held count once in the shuffle too.
+        known = held.select("*", row).select(*identity).distinct()
+        fresh = batch.select("*", row).join(known, identity, "left_anti")
         self.append(table, fresh)
 
+    def days(self, table: str) -> list[dt.date]:
+        """Days a bronze table holds, newest first, from the catalog alone."""
+        found = self.spark.sql(f"SHOW PARTITIONS {self.name(BRONZE_LAYER, table)}")
+        texts = [row.partition.split("=", 1)[1] for row in found.collect()]
+        return sorted(map(dt.date.fromisoformat, texts), reverse=True)
+
     # -- models --------------------------------------------------------------
 
     def publish(self, layer: str, table: str, rows: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from marlstone import bindings as B
 from marlstone import schemas as S
-from marlstone.plans import gold, serve, silver
+from marlstone.plans import gold, jobs, serve, silver
 from marlstone.sources import landing
 from marlstone.sources.tables import BRONZE_LAYER
 
@@ -19,7 +19,7 @@ STAMP = B.LOADED_AT
 # Queries that run jobs or streams when they are built.
 EAGER = {
     "landing_markets", "bronze_append", "bronze_append_once", "refresh_live",
-    "refresh_all", "stream_ingest", "stream_live_refresh", "stream_stg_markets",
+    "refresh_all", "live_prices_newest_days", "stream_ingest", "stream_live_refresh", "stream_stg_markets",
 }
 
 
@@ -82,6 +82,18 @@ def test_live_prices_keep_n_rows_per_task_and_skip_days(raw_table):
     assert "ReadSchema: struct<ingested_at:string,payload:string>" in text
 
 
+def test_a_common_symbol_needs_the_newest_days_only(wh, raw_table):
+    def days_read(symbol, n):
+        text = plan(jobs.newest_live_prices(wh, symbol, n))
+        return re.findall(r"PartitionFilters:.*ingest_date#\d+ >= (\S+?)\)", text)
+
+    days = wh.days(S.RAW_MARKETS)
+    assert days == sorted(days, reverse=True) and len(days) == 30
+    assert days_read("error", 2) == [str(days[0])]
+    assert days_read("error", 15) == [str(days[3])]
+    assert days_read("nobody", 2) == []
+
+
 def test_live_series_of_all_symbols_are_cut_before_the_shuffle(events):
     df = serve.price_direction(
         serve.live_prices_by_symbol(B.raw_markets(events)), ["symbol"]
