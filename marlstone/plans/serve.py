@@ -37,7 +37,7 @@ def dashboard_summary(summary: DataFrame) -> DataFrame:
 
 def coin_header(summary: DataFrame, symbol: str) -> DataFrame:
     """Heading and key figures of one coin, its symbol in capitals."""
-    return summary.where(F.lower("symbol") == F.lit(symbol.lower())).select(
+    return summary.where(F.lower("symbol") == F.lower(F.lit(symbol))).select(
         F.concat("name", F.lit(" ("), F.upper("symbol"), F.lit(")")).alias("title"),
         "current_price",
         "market_cap_billions",
@@ -56,12 +56,13 @@ def live_prices(
     Every batch counts, so this reads the payloads of the whole bronze table
     unless `since` bounds the days (a partition filter on a table at rest).
     """
-    target = symbol.lower()
+    target = F.lower(F.lit(symbol))
     candidates = _since(raw_markets, since).where(
-        _may_mention(F.col("payload"), target)
+        _may_mention(F.col("payload"), symbol.lower())
+    )
+    matches = _observations(candidates, lambda found: found == target).select(
+        "time", "live_price"
     )
-    matches = _observations(candidates, lambda symbol: symbol == F.lit(target))
-    matches = matches.select("time", "live_price")
     return top_n(matches, n, _newest_first()).orderBy(
         "time", F.asc_nulls_first("live_price")
     )

@@ -5,6 +5,7 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from marlstone import bindings as B
@@ -147,6 +148,41 @@ def test_watchlist_joins_follow_the_measured_size(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_hot_coin_of_the_watchlists_is_split(spark):
+    # Sizes of a test run stand in for a cluster's 256 MB and 64 MB.
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    rows = spark.range(40_000)
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500)
+    lists = rows.select(
+        (F.col("id") % 1_000).alias("user_id"),
+        F.concat(F.lit("s"), hot).alias("coin_id"),
+        F.current_timestamp().alias("added_at"),
+    )
+    people = spark.range(1_000).select(
+        F.col("id").alias("user_id"), F.col("id").cast("string").alias("username")
+    )
+    summary = spark.range(500).selectExpr(
+        "concat('s', id) AS symbol", "concat('n', id) AS name", "1.0D AS current_price",
+        "1.0D AS market_cap_billions", "0.0D AS price_change_24h_pct", "'up' AS price_trend",
+    )
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        df = gold.watchlist_enriched(lists, people, summary)
+        assert len(df.collect()) == 40_000
+        assert "SortMergeJoin(skew=true)" in tree(df)
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+
+
 def test_dashboard_sorts_once(spark):
     text = tree(entry.dashboard_summary(spark, SF))
     assert text.count("Exchange rangepartitioning") == 1
