@@ -67,13 +67,17 @@ def _warehouse(spark: SparkSession, purpose: str) -> Warehouse:
     return Warehouse(spark, root, {layer: f"{tag}_{layer}" for layer in LAYERS})
 
 
+def _backfill_markets(wh: Warehouse, sf_dir: str) -> None:
+    rows = B.with_day(_raw_markets(wh.spark, sf_dir))
+    wh.append(S.RAW_MARKETS, rows, backfill=True)
+
+
 def _landed_warehouse(spark: SparkSession, sf_dir: str, purpose: str) -> Warehouse:
     """All three bronze tables, appended from the test tables."""
     wh = _warehouse(spark, purpose)
     events, part = _events(spark, sf_dir), B.table(spark, sf_dir, "part")
-    wh.append(
-        S.RAW_MARKETS, B.with_day(_raw_markets_by_user(spark, sf_dir))
-    )
+    markets = B.with_day(_raw_markets_by_user(spark, sf_dir))
+    wh.append(S.RAW_MARKETS, markets, backfill=True)
     details = landing.coin_details_records(B.coin_detail_responses(part))
     wh.append(S.RAW_COIN_DETAILS, landing.envelope(details, B.LOADED_AT))
     wh.append(S.RAW_HISTORICAL_PRICES, B.with_day(B.raw_historical_prices(events)))
@@ -139,7 +143,7 @@ def rejected_records(spark, sf_dir):
 def bronze_append(spark, sf_dir):
     """Append to a day-partitioned table and read back three columns."""
     wh = _warehouse(spark, "bronze_append")
-    wh.append(S.RAW_MARKETS, B.with_day(_raw_markets(spark, sf_dir)))
+    _backfill_markets(wh, sf_dir)
     return wh.table(BRONZE_LAYER, S.RAW_MARKETS).select(
         "coin_id", "ingested_at", F.col(S.PARTITION_COLUMN)
     )
@@ -149,8 +153,8 @@ def bronze_append_once(spark, sf_dir):
     """The same batch appended twice is there once."""
     wh = _warehouse(spark, "bronze_append_once")
     batch = B.with_day(_raw_markets(spark, sf_dir))
-    wh.append_once(S.RAW_MARKETS, batch)
-    wh.append_once(S.RAW_MARKETS, batch)
+    wh.append_once(S.RAW_MARKETS, batch, backfill=True)
+    wh.append_once(S.RAW_MARKETS, batch, backfill=True)
     return (
         wh.table(BRONZE_LAYER, S.RAW_MARKETS)
         .groupBy("coin_id")
@@ -300,7 +304,7 @@ def live_prices_since(spark, sf_dir):
 def live_prices_newest_days(spark, sf_dir):
     """The same series from a written table, reading only the days it needs."""
     wh = _warehouse(spark, "live_prices_newest_days")
-    wh.append(S.RAW_MARKETS, B.with_day(_raw_markets(spark, sf_dir)))
+    _backfill_markets(wh, sf_dir)
     live = jobs.newest_live_prices(wh, SYMBOL)
     return live.withColumn("time", utc_wall_clock(F.col("time")))
 
@@ -347,7 +351,7 @@ def table_row_counts(spark, sf_dir):
 def refresh_live(spark, sf_dir):
     """Written bronze -> published staging table -> published summary."""
     wh = _warehouse(spark, "refresh_live")
-    wh.append(S.RAW_MARKETS, B.with_day(_raw_markets(spark, sf_dir)))
+    _backfill_markets(wh, sf_dir)
     return jobs.refresh_live(wh)
 
 
@@ -383,7 +387,7 @@ def stream_live_refresh(spark, sf_dir):
     # for coins that are in both.
     newer = F.col("ingested_at") > F.lit(AS_OF.isoformat())
     for batch in (raw.where(newer), raw.where(~newer)):
-        wh.append(S.RAW_MARKETS, batch)
+        wh.append(S.RAW_MARKETS, batch, backfill=True)
         start_live_refresh(
             wh, stream_bronze(spark, wh, S.RAW_MARKETS), f"{wh.root}/checkpoint"
         ).awaitTermination()
@@ -393,7 +397,7 @@ def stream_live_refresh(spark, sf_dir):
 def stream_stg_markets(spark, sf_dir):
     """The live staging table after one run over the whole bronze table."""
     wh = _warehouse(spark, "stream_stg_markets")
-    wh.append(S.RAW_MARKETS, B.with_day(_raw_markets(spark, sf_dir)))
+    _backfill_markets(wh, sf_dir)
     start_live_refresh(
         wh, stream_bronze(spark, wh, S.RAW_MARKETS), f"{wh.root}/checkpoint"
     ).awaitTermination()

@@ -85,21 +85,28 @@ class Warehouse:
         )
         self.spark.catalog.recoverPartitions(name)
 
-    def append(self, table: str, batch: DataFrame) -> None:
+    def append(self, table: str, batch: DataFrame, backfill: bool = False) -> None:
         """Append envelope rows as they are: no update, no deduplication.
 
         Each task sorts what it writes by day and coin, so that row groups hold
-        few coins each; nothing is shuffled.
+        few coins each; nothing is shuffled. That suits a batch of one or few
+        days. A `backfill` of many days would leave a file per day and task, so
+        its rows are first brought together by day; Spark splits a day into
+        tasks by its size.
         """
         self.create_bronze(table)
+        rows = batch.select(*BRONZE.names)
+        if backfill:
+            rows = rows.hint("rebalance", F.col(PARTITION_COLUMN))
         (
-            batch.select(*BRONZE.names)
-            .sortWithinPartitions(PARTITION_COLUMN, "coin_id", "ingested_at")
+            rows.sortWithinPartitions(PARTITION_COLUMN, "coin_id", "ingested_at")
             .write.mode("append")
             .insertInto(self.name(BRONZE_LAYER, table))
         )
 
-    def append_once(self, table: str, batch: DataFrame) -> None:
+    def append_once(
+        self, table: str, batch: DataFrame, backfill: bool = False
+    ) -> None:
         """Append only the rows that the table does not hold yet.
 
         A retried batch, whether its first attempt was committed wholly, partly
@@ -123,7 +130,7 @@ class Warehouse:
         # Distinct, so that copies already held count once in the shuffle too.
         known = held.select("*", row).select(*identity).distinct()
         fresh = batch.select("*", row).join(known, identity, "left_anti")
-        self.append(table, fresh)
+        self.append(table, fresh, backfill)
 
     def days(self, table: str) -> list[dt.date]:
         """Days a bronze table holds, newest first, from the catalog alone."""

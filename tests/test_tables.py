@@ -34,6 +34,21 @@ def test_append_keeps_everything_in_day_folders(wh, bronze, tmp_path):
     assert folders == ["ingest_date=2026-03-01", "ingest_date=2026-03-02"]
 
 
+def test_backfill_brings_days_together(wh, spark, tmp_path):
+    day = F.date_add(F.lit(dt.date(2026, 3, 1)), (F.col("id") % 10).cast("int"))
+    rows = spark.range(0, 4_000, 1, 8).select(
+        F.col("id").cast("string").alias("coin_id"),
+        F.lit(None).cast("string").alias("source_updated_at"),
+        F.concat(day.cast("string"), F.lit("T00:00:00.000000+00:00")).alias("ingested_at"),
+        F.lit("{}").alias("payload"),
+        day.alias("ingest_date"),
+    )
+    wh.append(S.RAW_MARKETS, rows, backfill=True)
+    files = list((tmp_path / "wh/bronze/raw_markets").glob("*/*.parquet"))
+    assert len(files) == 10
+    assert wh.table(BRONZE_LAYER, S.RAW_MARKETS).distinct().count() == 4_000
+
+
 def test_creating_a_table_again_leaves_it_alone(wh, bronze):
     wh.append(S.RAW_MARKETS, batch(bronze, DAY1, ("btc", "{}")))
     wh.create_bronze(S.RAW_MARKETS)
