@@ -33,6 +33,20 @@ from marlstone.sources.tables import (
 from marlstone.streaming.ingest import start_ingest
 from marlstone.streaming.live import start_live_refresh, stream_bronze
 
+# The operators for training text can be taken out of the repository as a whole.
+try:
+    from marlstone.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("marlstone.llm"):
+        raise
+    llm = None
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "marlstone.llm"):
+        raise
+    corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -404,8 +418,15 @@ def stream_stg_markets(spark, sf_dir):
     return wh.table(SILVER_LAYER, S.STG_MARKETS)
 
 
+def _llm_queries() -> dict[str, Query]:
+    found = dict(llm.QUERIES) if llm else {}
+    if llm and corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
 def queries() -> dict[str, Query]:
-    return {
+    return _llm_queries() | {
         f.__name__: f
         for f in (
             bronze_envelope,
@@ -551,7 +572,10 @@ def oracle_sql() -> dict[str, str]:
         FROM orders JOIN customer ON o_custkey = c_custkey
         JOIN ({_summary(f"SELECT * REPLACE ('u' || coin_id AS symbol) FROM ({_stg_markets()})")}) m
           ON 'u' || CAST(o_custkey AS VARCHAR) = m.symbol"""
-    return {
+    llm_sql = llm.oracles() if llm else {}
+    if llm and corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        llm_sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return llm_sql | {
         "bronze_envelope": f"""
             SELECT CAST(event_id AS VARCHAR) AS coin_id,
                    event_type AS source_updated_at,
