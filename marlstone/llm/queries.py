@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from marlstone.llm import language_id, license_scan, packing, toxicity, url_filter
+from marlstone.llm import (
+    language_id,
+    license_scan,
+    near_duplicates,
+    packing,
+    toxicity,
+    url_filter,
+)
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_packing": packing.op3_packing,
+    "op6_jaccard_join": near_duplicates.op6_jaccard_join,
     "op7_url_rules": url_filter.op7_url_rules,
     "op10_license_scan": license_scan.op10_license_scan,
 }
