@@ -82,6 +82,13 @@ def positions(low: np.ndarray, high: np.ndarray, bits: int, hashes: int) -> np.n
         return (low + k * (high | np.uint64(1))) & np.uint64(bits - 1)
 
 
+def mixed_pair(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers for double hashing from one 64-bit hash."""
+    with np.errstate(over="ignore"):
+        high = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    return hashes, high ^ (high >> np.uint64(32))
+
+
 def passes(words: np.ndarray, low: np.ndarray, high: np.ndarray, hashes: int) -> np.ndarray:
     bits = words.size * 64
     found = np.ones(low.size, dtype=bool)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from marlstone.llm import (
+    decontamination,
     language_id,
     license_scan,
     near_duplicates,
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_packing": packing.op3_packing,
+    "op5_decontamination": decontamination.op5_decontamination,
     "op6_jaccard_join": near_duplicates.op6_jaccard_join,
     "op7_url_rules": url_filter.op7_url_rules,
     "op10_license_scan": license_scan.op10_license_scan,
