@@ -8,6 +8,7 @@ from marlstone.llm import (
     license_scan,
     near_duplicates,
     packing,
+    token_counts,
     toxicity,
     url_filter,
 )
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_decontamination": decontamination.op5_decontamination,
     "op6_jaccard_join": near_duplicates.op6_jaccard_join,
     "op7_url_rules": url_filter.op7_url_rules,
+    "op8_token_counts": token_counts.op8_token_counts,
     "op10_license_scan": license_scan.op10_license_scan,
 }
 
