@@ -8,6 +8,7 @@ from marlstone.llm import (
     license_scan,
     near_duplicates,
     packing,
+    suffix_dedup,
     token_counts,
     toxicity,
     url_filter,
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_jaccard_join": near_duplicates.op6_jaccard_join,
     "op7_url_rules": url_filter.op7_url_rules,
     "op8_token_counts": token_counts.op8_token_counts,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_license_scan": license_scan.op10_license_scan,
 }
 
