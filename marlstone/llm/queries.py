@@ -8,6 +8,7 @@ from marlstone.llm import (
     license_scan,
     near_duplicates,
     packing,
+    quality_rules,
     suffix_dedup,
     token_counts,
     toxicity,
@@ -18,6 +19,7 @@ QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_packing": packing.op3_packing,
+    "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_decontamination": decontamination.op5_decontamination,
     "op6_jaccard_join": near_duplicates.op6_jaccard_join,
     "op7_url_rules": url_filter.op7_url_rules,
