@@ -121,8 +121,10 @@ def _level(keys: DataFrame, salt: int, rate: float) -> Level:
 def _passing(keys: DataFrame, level: Level) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            if len(frame):
-                yield frame[level.passes(list(frame["key"]))]
+            keys = list(frame["key"])
+            if keys:
+                passed = [k for k, p in zip(keys, level.passes(keys)) if p]
+                yield pd.DataFrame({"key": passed}, dtype="object")
 
     return keys.select("key").mapInPandas(run, "key string")
 
@@ -145,7 +147,8 @@ def build_cascade(listed: DataFrame, urls: DataFrame, lengths: Sequence[int]) ->
             keys = list(keys)
             if keys:
                 found = levels[0].passes(keys)
-                yield pd.DataFrame({"key": [k for k, f in zip(keys, found) if f]})
+                passed = [k for k, f in zip(keys, found) if f]
+                yield pd.DataFrame({"key": passed}, dtype="object")
 
     unlisted = (
         urls.select("host", "path")
