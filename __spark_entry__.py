@@ -115,7 +115,7 @@ def landing_markets(spark, sf_dir):
     responses = B.market_responses(_events(spark, sf_dir))
     responses.write.text(folder)
     landed = landing.read_responses(spark, folder, whole_files=False)
-    records = landing.market_records(landed, limit=landing.MAX_LIMIT)
+    records = landing.market_records(landed)
     rows = landing.envelope(records, B.LOADED_AT)
     return (
         rows.select(
@@ -310,7 +310,7 @@ def live_prices(spark, sf_dir):
 
 def live_prices_since(spark, sf_dir):
     live = serve.live_prices(
-        _raw_markets(spark, sf_dir), SYMBOL, n=1_000, since=dt.date(2024, 1, 30)
+        _raw_markets(spark, sf_dir), SYMBOL, n=None, since=dt.date(2024, 1, 30)
     )
     return live.withColumn("time", utc_wall_clock(F.col("time")))
 
@@ -386,7 +386,7 @@ def stream_ingest(spark, sf_dir):
     folder = f"{wh.root}/landing"
     B.market_responses(_events(spark, sf_dir)).write.text(folder)
     responses = landing.stream_responses(spark, folder, whole_files=False)
-    records = landing.market_records(responses, limit=landing.MAX_LIMIT)
+    records = landing.market_records(responses)
     start_ingest(
         wh, S.RAW_MARKETS, records, f"{wh.root}/checkpoint"
     ).awaitTermination()
@@ -426,7 +426,12 @@ def _llm_queries() -> dict[str, Query]:
 
 
 def queries() -> dict[str, Query]:
-    return _llm_queries() | {
+    return _llm_queries() | library_queries()
+
+
+def library_queries() -> dict[str, Query]:
+    """Those that stay when the operators for training text are taken out."""
+    return {
         f.__name__: f
         for f in (
             bronze_envelope,
@@ -667,7 +672,7 @@ def oracle_sql() -> dict[str, str]:
         "live_prices_since": f"""
             SELECT time, live_price FROM ({_LIVE})
             WHERE symbol = 'error' AND time >= TIMESTAMP '2024-01-30'
-            ORDER BY time DESC LIMIT 1000""",
+            """,
         "price_direction": f"""
             SELECT symbol, count(*) AS n_points,
                    arg_min(live_price, time) AS first_value,

@@ -20,7 +20,7 @@ LOADED_BEFORE = "2024-01-01T00:00:00.000000+00:00"
 POINTS_PER_PAYLOAD = 512
 
 # Events per landed response, the most one response can hold.
-EVENTS_PER_RESPONSE = 250
+EVENTS_PER_RESPONSE = 400
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,7 +64,7 @@ def with_day(raw: DataFrame) -> DataFrame:
 
 
 def market_responses(events: DataFrame) -> DataFrame:
-    """Landed responses: arrays of market documents, up to 250 in each."""
+    """Landed responses: arrays of market documents, up to 400 in each."""
     return (
         events.groupBy(F.floor(F.col("event_id") / EVENTS_PER_RESPONSE).alias("_page"))
         .agg(F.collect_list(market_document(F.col("event_type"))).alias("_documents"))

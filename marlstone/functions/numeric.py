@@ -1,15 +1,13 @@
 """Rounding and division with the results the marts are specified by."""
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # From 2^52 on a double has no fraction left, so rounding returns it unchanged.
 _NO_FRACTION = float(2**52)
 
-_FRACTION_UNIT = Decimal("0.00000001")
-_WHOLE_LIMIT = 1e9
+# Averages add values as this: to 1e-10, below 1e28.
+_SUMMED_AS = "decimal(38,10)"
 
 
 def round_half_up(value: Column, places: int) -> Column:
@@ -20,7 +18,10 @@ def round_half_up(value: Column, places: int) -> Column:
     """
     factor = float(10**places)
     scaled = F.abs(value) * factor
-    magnitude = F.floor(scaled + 0.5) / factor
+    whole = F.floor(scaled)
+    # The remainder is exact; adding a half first would itself round up.
+    up = F.when(scaled - whole >= 0.5, 1).otherwise(0)
+    magnitude = (whole + up) / factor
     return (
         F.when(scaled >= _NO_FRACTION, value)
         .when(value < 0, -magnitude)
@@ -28,24 +29,25 @@ def round_half_up(value: Column, places: int) -> Column:
     )
 
 
-def stable_avg(value: Column) -> Column:
+def stable_avg(value: Column, strict: bool = True) -> Column:
     """Average of doubles that does not depend on the order of the rows.
 
     Adding doubles rounds at every step, so a plain average changes in its last
     bits with partitioning and retries, and after rounding to cents in a whole
-    cent. Here whole parts and fractions (to 1e-8) are added as integers, which
-    is exact in any order and costs no more. Groups with magnitudes beyond 1e9,
-    NaN or infinities, or sums beyond a bigint, take the plain average.
+    cent. Here values are added as decimals, which is exact in any order. NaN,
+    infinities and values or sums from 1e28 on fail; when not strict such values
+    count as NULL and such sums are NULL.
     """
-    whole = F.floor(value)
-    fraction = F.floor((value - whole) / float(_FRACTION_UNIT) + 0.5)
-    # Once per group, as decimals: the two sums still add up without rounding.
-    wholes, fractions = (
-        F.try_sum(part).cast("decimal(19,0)") for part in (whole, fraction)
-    )
-    total = (wholes + fractions * F.lit(_FRACTION_UNIT)).cast("double")
-    in_range = (F.min(value) > -_WHOLE_LIMIT) & (F.max(value) < _WHOLE_LIMIT)
-    return F.coalesce(F.when(in_range, total / F.count(value)), F.avg(value))
+    if strict:
+        # A cast to decimal makes them NULL without a word.
+        odd = F.isnan(value) | (F.abs(value) == float("inf"))
+        message = F.lit("an average of values that are no finite numbers")
+        exact = F.when(odd, F.raise_error(message)).otherwise(value.cast(_SUMMED_AS))
+        total = F.sum(exact)
+    else:
+        exact = value.try_cast(_SUMMED_AS)
+        total = F.try_sum(exact)
+    return total.cast("double") / F.nullif(F.count(exact), F.lit(0))
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

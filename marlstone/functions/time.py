@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 # fraction digits, e.g. 2026-03-01T05:17:08.433794+00:00.
 UTC_SUFFIX = "+00:00"
 
+CANONICAL_UTC = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}\+00:00$"
+
 _SECONDS_PER_DAY = 86_400
 
 

@@ -66,6 +66,8 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def as_of(raw: DataFrame, moment: dt.datetime) -> DataFrame:
     """The bronze rows that were there at a moment. Bronze is append-only, so
     running a model over them gives the model's result as of then."""
+    if moment.utcoffset() is None:
+        raise ValueError("the moment needs an offset, e.g. +00:00")
     utc = moment.astimezone(dt.timezone.utc)
     text = utc.strftime("%Y-%m-%dT%H:%M:%S.%f") + UTC_SUFFIX
     kept = raw.where(F.col("ingested_at") <= F.lit(text))

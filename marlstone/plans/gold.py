@@ -43,7 +43,9 @@ def market_summary(
     )
 
 
-def price_history(stg_historical_prices: DataFrame, ordered: bool = True) -> DataFrame:
+def price_history(
+    stg_historical_prices: DataFrame, ordered: bool = True, strict: bool = True
+) -> DataFrame:
     """Low, high, average and range per coin and UTC day.
 
     Points without a price count as data points and nowhere else.
@@ -58,7 +60,7 @@ def price_history(stg_historical_prices: DataFrame, ordered: bool = True) -> Dat
         .agg(
             round_half_up(F.min(price), 2).alias("low_price"),
             round_half_up(F.max(price), 2).alias("high_price"),
-            round_half_up(stable_avg(price), 2).alias("avg_price"),
+            round_half_up(stable_avg(price, strict), 2).alias("avg_price"),
             round_half_up(F.max(price) - F.min(price), 2).alias("price_range"),
             F.count(F.lit(1)).alias("data_points"),
         )

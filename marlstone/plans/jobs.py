@@ -1,9 +1,11 @@
 """Refresh jobs: rebuild models in dependency order and publish them."""
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from marlstone import schemas as S
 from marlstone.plans import gold, serve, silver
@@ -17,7 +19,12 @@ from marlstone.sources.tables import (
 _SILVER = [
     (S.STG_MARKETS, S.RAW_MARKETS, silver.stg_markets),
     (S.STG_COIN_DETAILS, S.RAW_COIN_DETAILS, silver.stg_coin_details),
-    (S.STG_HISTORICAL_PRICES, S.RAW_HISTORICAL_PRICES, silver.stg_historical_prices),
+    (
+        S.STG_HISTORICAL_PRICES,
+        S.RAW_HISTORICAL_PRICES,
+        # A published table has no row order; queries that show it sort it.
+        partial(silver.stg_historical_prices, ordered=False),
+    ),
 ]
 
 
@@ -27,7 +34,8 @@ def refresh_silver(wh: Warehouse, strict: bool = True) -> None:
 
     def rebuild(model):
         table, source, build = model
-        wh.publish(SILVER_LAYER, table, build(wh.table(BRONZE_LAYER, source), strict))
+        rows = build(wh.table(BRONZE_LAYER, source), strict=strict)
+        wh.publish(SILVER_LAYER, table, rows)
 
     with ThreadPoolExecutor(max_workers=len(_SILVER)) as pool:
         task = inheritable_thread_target(wh.spark)(rebuild)
@@ -48,13 +56,15 @@ def refresh_gold(
     markets = wh.table(SILVER_LAYER, S.STG_MARKETS)
     prices = wh.table(SILVER_LAYER, S.STG_HISTORICAL_PRICES)
     summary = wh.publish(
-        GOLD_LAYER, S.MART_MARKET_SUMMARY, gold.market_summary(markets)
+        GOLD_LAYER, S.MART_MARKET_SUMMARY, gold.market_summary(markets, ordered=False)
+    )
+    wh.publish(
+        GOLD_LAYER, S.MART_PRICE_HISTORY, gold.price_history(prices, ordered=False)
     )
-    wh.publish(GOLD_LAYER, S.MART_PRICE_HISTORY, gold.price_history(prices))
     if user_watchlists is None or user_profiles is None:
         return
     if watch_on == "coin_id":
-        summary = gold.market_summary(markets, with_coin_id=True)
+        summary = gold.market_summary(markets, with_coin_id=True, ordered=False)
     wh.publish(
         GOLD_LAYER,
         S.MART_WATCHLIST_ENRICHED,
@@ -66,7 +76,9 @@ def refresh_live(wh: Warehouse, strict: bool = True) -> DataFrame:
     """Rebuild only the market tables, the ones a live view needs."""
     raw = wh.table(BRONZE_LAYER, S.RAW_MARKETS)
     markets = wh.publish(SILVER_LAYER, S.STG_MARKETS, silver.stg_markets(raw, strict))
-    return wh.publish(GOLD_LAYER, S.MART_MARKET_SUMMARY, gold.market_summary(markets))
+    return wh.publish(
+        GOLD_LAYER, S.MART_MARKET_SUMMARY, gold.market_summary(markets, ordered=False)
+    )
 
 
 def refresh_all(
@@ -87,13 +99,17 @@ def newest_live_prices(
 
     Exact: once n are found, every other day is older than all of them. A
     symbol seen in each batch needs one day's files instead of the whole table;
-    one that is rare or gone widens the range fourfold at a time.
+    one that is rare or gone widens the range fourfold at a time, and each step
+    reads the added days only. The rows found, n at most, are kept by the driver.
     """
     raw = wh.table(BRONZE_LAYER, S.RAW_MARKETS)
-    days, width = wh.days(S.RAW_MARKETS), 1
-    while width < len(days):
-        live = serve.live_prices(raw, symbol, n, since=days[width - 1])
-        if live.count() == n:
-            return live
-        width *= 4
-    return serve.live_prices(raw, symbol, n)
+    days, found, done, width = wh.days(S.RAW_MARKETS), [], 0, 1
+    schema = serve.live_prices(raw, symbol, n).schema
+    while done < len(days) and len(found) < n:
+        added = F.col(S.PARTITION_COLUMN).between(
+            F.lit(days[min(width, len(days)) - 1]), F.lit(days[done])
+        )
+        step = serve.live_prices(raw.where(added), symbol, n - len(found))
+        found = step.collect() + found
+        done, width = width, 4 * width
+    return wh.spark.createDataFrame(found, schema)

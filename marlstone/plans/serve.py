@@ -32,7 +32,7 @@ def dashboard_summary(summary: DataFrame) -> DataFrame:
     """The summary under its display headings, best rank first."""
     return summary.select(
         *[F.col(c).alias(heading) for c, heading in DASHBOARD_HEADINGS.items()]
-    ).orderBy(F.asc_nulls_last("Rank"), "Symbol")
+    ).orderBy(F.asc_nulls_last("Rank"), "Symbol", "Coin")
 
 
 def coin_header(summary: DataFrame, symbol: str) -> DataFrame:
@@ -48,11 +48,15 @@ def coin_header(summary: DataFrame, symbol: str) -> DataFrame:
 def live_prices(
     raw_markets: DataFrame,
     symbol: str,
-    n: int = LIVE_POINTS,
+    n: int | None = LIVE_POINTS,
     since: dt.date | None = None,
+    strict: bool = True,
 ) -> DataFrame:
     """The newest n observations of a symbol over all batches, oldest first.
 
+    All of them without n. When not strict, malformed documents have no
+    observation and a malformed price is NULL.
+
     Every batch counts, so this reads the payloads of the whole bronze table
     unless `since` bounds the days (a partition filter on a table at rest).
     """
@@ -60,19 +64,22 @@ def live_prices(
     candidates = _since(raw_markets, since).where(
         _may_mention(F.col("payload"), symbol.lower())
     )
-    matches = _observations(candidates, lambda found: found == target).select(
+    matches = _observations(candidates, lambda found: found == target, strict).select(
         "time", "live_price"
     )
-    return top_n(matches, n, _newest_first()).orderBy(
-        "time", F.asc_nulls_first("live_price")
-    )
+    if n is not None:
+        matches = top_n(matches, n, _newest_first())
+    return matches.orderBy("time", F.asc_nulls_first("live_price"))
 
 
 def live_prices_by_symbol(
-    raw_markets: DataFrame, n: int = LIVE_POINTS, since: dt.date | None = None
+    raw_markets: DataFrame,
+    n: int = LIVE_POINTS,
+    since: dt.date | None = None,
+    strict: bool = True,
 ) -> DataFrame:
     """The newest n observations of every symbol, symbols in lower case."""
-    observations = _observations(_since(raw_markets, since), Column.isNotNull)
+    observations = _observations(_since(raw_markets, since), Column.isNotNull, strict)
     return top_n_per_key(observations, ["symbol"], n, _newest_first())
 
 
@@ -81,13 +88,17 @@ def price_direction(live: DataFrame, keys: list[str] | None = None) -> DataFrame
     return direction_of(live, keys or [], "time", "live_price")
 
 
-def bronze_fields(raw_markets: DataFrame) -> DataFrame:
-    """Name and price of every bronze row, read from the raw document."""
-    fields = top_level("payload", ["name", "current_price"]).alias("fields")
+def bronze_fields(raw_markets: DataFrame, strict: bool = True) -> DataFrame:
+    """Name and price of every bronze row, read from the raw document.
+
+    When not strict, what cannot be read is NULL.
+    """
+    fields = top_level("payload", ["name", "current_price"], strict).alias("fields")
+    price = top_level_scalar("fields", "payload", "current_price")
     return raw_markets.select("coin_id", "payload", fields).select(
         "coin_id",
         top_level_scalar("fields", "payload", "name").alias("name"),
-        as_double(top_level_scalar("fields", "payload", "current_price")).alias("price"),
+        as_double(price, strict).alias("price"),
     )
 
 
@@ -119,20 +130,23 @@ def with_symbol(
 
 
 def fetch(df: DataFrame, limit: int) -> pd.DataFrame:
-    """A bounded result as a pandas frame, for display."""
-    return df.limit(limit).toPandas()
+    """A bounded result as a pandas frame, for display; more rows fail."""
+    rows = df.limit(limit + 1).toPandas()
+    if len(rows) > limit:
+        raise ValueError(f"the result has more than {limit} rows")
+    return rows
 
 
 def _observations(
-    raw_markets: DataFrame, keep: Callable[[Column], Column]
+    raw_markets: DataFrame, keep: Callable[[Column], Column], strict: bool
 ) -> DataFrame:
     """Symbol in lower case, time and price of the rows whose symbol is kept.
 
     The row is put into an array that is filtered and unnested. A plain filter
     on the symbol would be pushed below its extraction and read the JSON twice.
     """
-    fields = top_level("payload", ["symbol", "current_price"]).alias("fields")
-    price = as_double(top_level_scalar("fields", "payload", "current_price"))
+    fields = top_level("payload", ["symbol", "current_price"], strict).alias("fields")
+    price = as_double(top_level_scalar("fields", "payload", "current_price"), strict)
     row = F.struct(
         F.lower(top_level_scalar("fields", "payload", "symbol")).alias("symbol"),
         from_iso("ingested_at").alias("time"),

@@ -39,21 +39,34 @@ COIN_DETAIL_PATHS = {
 }
 
 
-def newest_documents(raw: DataFrame, strict: bool = True) -> DataFrame:
+def newest_documents(
+    raw: DataFrame, strict: bool = True, skip_days: bool = False
+) -> DataFrame:
     """The newest bronze row per coin.
 
     Equal ingestion times (a retried append) are decided by the source's own
-    update time and then by the payload text. A day-partitioned table is first
-    narrowed to the days that can hold a newest row.
+    update time and then by the payload text. `skip_days` first narrows a
+    day-partitioned table to the days that can hold a newest row, at the price of
+    a pass over the coins.
 
-    When not strict, malformed payloads are set aside before the choice, so
-    that a coin's last good document stands in for a broken one; `quarantined`
-    returns what was set aside.
+    When not strict, a coin's last good document stands in for a broken newest
+    one. Only the coins concerned have all their documents read; `quarantined`
+    returns every malformed row.
     """
-    if not strict:
-        raw = raw.where(~is_malformed("payload"))
-    elif PARTITION_COLUMN in raw.columns:
-        raw = keep_newest_days(raw, ["coin_id"], PARTITION_COLUMN)
+    if skip_days and PARTITION_COLUMN in raw.columns:
+        narrowed = keep_newest_days(raw, ["coin_id"], PARTITION_COLUMN)
+    else:
+        narrowed = raw
+    newest = _newest(narrowed)
+    if strict:
+        return newest
+    broken = newest.where(is_malformed("payload")).select("coin_id")
+    again = raw.join(broken, raw["coin_id"].eqNullSafe(broken["coin_id"]), "left_semi")
+    good = newest.where(~is_malformed("payload"))
+    return good.unionByName(_newest(again.where(~is_malformed("payload"))))
+
+
+def _newest(raw: DataFrame) -> DataFrame:
     return latest_per_key(
         raw.select("coin_id", "source_updated_at", "ingested_at", "payload"),
         keys=["coin_id"],
@@ -67,6 +80,42 @@ def quarantined(raw: DataFrame) -> DataFrame:
     return raw.where(is_malformed("payload"))
 
 
+def quarantined_prices(raw_historical_prices: DataFrame) -> DataFrame:
+    """The bronze rows whose payload is malformed or has prices that are no array.
+
+    Missing and null prices are a coin without points, not an error.
+    """
+    node = "variant_get(try_parse_json(payload), '$.prices', 'variant')"
+    odd = F.expr(f"coalesce(left(schema_of_variant({node}), 5) NOT IN ('ARRAY', 'VOID'), false)")
+    return raw_historical_prices.where(is_malformed("payload") | odd)
+
+
+def quarantined_points(raw_historical_prices: DataFrame) -> DataFrame:
+    """coin_id, ingested_at and text of points that lenient mode cannot read whole.
+
+    They are the newest documents' points that are no array, have fewer than two
+    elements, or hold an element that is neither null nor a number.
+    """
+    documents = _parsed(newest_documents(raw_historical_prices, strict=False), False)
+    points = documents.select(
+        "coin_id",
+        "ingested_at",
+        F.explode(
+            F.try_variant_get("doc", "$.prices", "array<variant>")
+        ).alias("point"),
+    )
+    pair = F.try_variant_get("point", "$", "array<variant>")
+    unread = F.exists(
+        F.slice(pair, 1, 2),
+        lambda v: (F.schema_of_variant(v) != "VOID")
+        & F.try_variant_get(v, "$", "double").isNull(),
+    )
+    bad = pair.isNull() | (F.size(pair) < 2) | unread
+    return points.where(F.coalesce(bad, F.lit(True))).select(
+        "coin_id", "ingested_at", F.col("point").cast("string").alias("point")
+    )
+
+
 def market_columns(documents: DataFrame, strict: bool = True) -> DataFrame:
     """Typed columns of market documents, one row in, one row out."""
     fields = with_scalars(_parsed(documents, strict), "doc", MARKET_PATHS)
@@ -83,12 +132,16 @@ def market_columns(documents: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def stg_markets(raw_markets: DataFrame, strict: bool = True) -> DataFrame:
-    return market_columns(newest_documents(raw_markets, strict), strict)
+def stg_markets(
+    raw_markets: DataFrame, strict: bool = True, skip_days: bool = False
+) -> DataFrame:
+    return market_columns(newest_documents(raw_markets, strict, skip_days), strict)
 
 
-def stg_coin_details(raw_coin_details: DataFrame, strict: bool = True) -> DataFrame:
-    documents = newest_documents(raw_coin_details, strict)
+def stg_coin_details(
+    raw_coin_details: DataFrame, strict: bool = True, skip_days: bool = False
+) -> DataFrame:
+    documents = newest_documents(raw_coin_details, strict, skip_days)
     fields = with_scalars(_parsed(documents, strict), "doc", COIN_DETAIL_PATHS)
     return fields.select(
         "coin_id",
@@ -107,7 +160,10 @@ def stg_coin_details(raw_coin_details: DataFrame, strict: bool = True) -> DataFr
 
 
 def stg_historical_prices(
-    raw_historical_prices: DataFrame, strict: bool = True, ordered: bool = True
+    raw_historical_prices: DataFrame,
+    strict: bool = True,
+    ordered: bool = True,
+    skip_days: bool = False,
 ) -> DataFrame:
     """One row per price point of each coin's newest payload.
 
@@ -115,7 +171,7 @@ def stg_historical_prices(
     For the order by coin and time, the payloads are put into coin ranges while
     still packed; their points then only need sorting within each range.
     """
-    newest = newest_documents(raw_historical_prices, strict)
+    newest = newest_documents(raw_historical_prices, strict, skip_days)
     if ordered:
         newest = newest.repartitionByRange("coin_id")
     doc = _parsed(newest, strict)

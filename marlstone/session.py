@@ -1,5 +1,6 @@
 """Session settings the jobs are written for, and the shared scratch folder."""
 
+import re
 import tempfile
 import uuid
 
@@ -36,10 +37,15 @@ def build_session(
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the one the cluster names in spark.checkpoint.dir.
 
-    Only where that setting is absent (tests on one machine) a local temporary
-    folder stands in.
+    Only where that setting is absent and the master is local a temporary folder
+    of this machine stands in; executors on other machines would not see it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(
+                f"spark.checkpoint.dir must name a shared folder on master {master!r}"
+            )
         base = tempfile.mkdtemp(prefix="marlstone-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"

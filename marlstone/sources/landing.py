@@ -13,13 +13,9 @@ from pyspark.sql import functions as F
 
 from marlstone.functions.guards import required
 from marlstone.functions.json import is_malformed, json_scalar
-from marlstone.functions.time import UTC_SUFFIX, iso_date, iso_utc
+from marlstone.functions.time import CANONICAL_UTC, UTC_SUFFIX, iso_date, iso_utc
 from marlstone.schemas import PARTITION_COLUMN
 
-# Rows asked for by default, and the most one response can hold.
-DEFAULT_LIMIT = 100
-MAX_LIMIT = 250
-
 _RESPONSE = "value STRING"
 _RESPONSE_OF_COIN = "value STRING, coin_id STRING"
 
@@ -52,12 +48,9 @@ def stream_responses(
     return _with_arrival(reader.text(path, wholetext=whole_files))
 
 
-def market_records(
-    responses: DataFrame, limit: int = DEFAULT_LIMIT, strict: bool = True
-) -> DataFrame:
+def market_records(responses: DataFrame, strict: bool = True) -> DataFrame:
     """One record per element of each response array.
 
-    Only the first `limit` elements of a response are asked for, 250 at most.
     A response that is not an array fails; when not strict it yields nothing
     here and everything in `rejected_responses`.
     """
@@ -68,8 +61,8 @@ def market_records(
         )
         elements = F.coalesce(elements, F.raise_error(message))
     listed = responses.select(
-        *_carried(responses), F.posexplode(elements).alias("_pos", "payload")
-    ).where(F.col("_pos") < min(limit, MAX_LIMIT))
+        *_carried(responses), F.explode(elements).alias("payload")
+    )
     parsed = listed.select(
         *_carried(responses), "payload", F.try_parse_json("payload").alias("_doc")
     )
@@ -129,12 +122,20 @@ def envelope(
 
     `batch_time` is the batch's one ingestion time. Without it each response
     counts as a batch and its arrival time is taken. A NULL in a required
-    column fails the job; when not strict such rows are left to
-    `rejected_records`.
+    column fails the job, and so does a time that is not a UTC text of six
+    fraction digits: times are compared as texts. When not strict such rows are
+    left to `rejected_records`, given the same `batch_time`.
     """
     stamped = records.withColumn("ingested_at", _stamp(records, batch_time))
-    if not strict:
-        stamped = stamped.where(~_incomplete())
+    if strict:
+        message = F.concat(F.lit("ingested_at is not canonical UTC: "), "ingested_at")
+        checked = F.when(
+            F.col("ingested_at").isNull() | _is_canonical("ingested_at"),
+            F.col("ingested_at"),
+        ).otherwise(F.raise_error(message))
+        stamped = stamped.withColumn("ingested_at", checked)
+    else:
+        stamped = stamped.where(~_incomplete() & _is_canonical("ingested_at"))
     rows = stamped.select(
         required("coin_id"),
         "source_updated_at",
@@ -149,14 +150,35 @@ def rejected_responses(responses: DataFrame) -> DataFrame:
     return responses.where(_elements(F.col("value")).isNull())
 
 
-def rejected_records(records: DataFrame) -> DataFrame:
-    """Records without an id or payload, or whose payload is not valid JSON."""
-    return records.where(_incomplete())
+def rejected_records(
+    records: DataFrame, batch_time: dt.datetime | str | Column | None = None
+) -> DataFrame:
+    """Records without an id or payload, or whose payload is not valid JSON.
+
+    With `batch_time` also those that it gives no canonical UTC time.
+    """
+    rejected = _incomplete()
+    if batch_time is not None:
+        rejected |= ~_is_canonical(_stamp(records, batch_time))
+    return records.where(rejected)
 
 
 def _elements(value: Column) -> Column:
-    """Elements of a JSON array as JSON texts; NULL for anything else."""
-    return F.from_json(value, "ARRAY<STRING>")
+    """Elements of a JSON array as JSON texts; NULL for anything else.
+
+    JSON readers stop at the closing bracket. Text behind it shows where the
+    whole is put into an array or an object: one of the two is then malformed.
+    """
+    elements = F.from_json(value, "ARRAY<STRING>")
+    as_element = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
+    as_field = F.try_parse_json(F.concat(F.lit('{"v":'), value, F.lit("}")))
+    alone = F.size(F.try_variant_get(as_element, "$", "array<variant>")) == 1
+    return F.when(alone & as_field.isNotNull(), elements)
+
+
+def _is_canonical(time: Column | str) -> Column:
+    time = F.col(time) if isinstance(time, str) else time
+    return F.coalesce(time.rlike(CANONICAL_UTC), F.lit(False))
 
 
 def _incomplete() -> Column:

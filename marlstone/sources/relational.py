@@ -12,14 +12,18 @@ def jdbc_options(
     schema: str,
     table: str,
     bounds: tuple[int, int] | None = None,
-    partitions: int = 32,
+    partitions: int | None = None,
     fetch_size: int = 10_000,
     **credentials: str,
 ) -> dict[str, str]:
-    """Options of a JDBC read; `bounds` of user_id split it into parallel reads.
+    """Options of a JDBC read; `bounds` of user_id split it into `partitions` reads.
 
-    The bounds only place the splits: rows outside them are read as well.
+    The bounds only place the splits: rows outside them are read as well. Without
+    bounds the whole table goes through one task, which has to be asked for with
+    `partitions=1`.
     """
+    if bounds is None and partitions != 1:
+        raise ValueError("a JDBC read needs bounds, or partitions=1 for a single task")
     options = {
         "url": url,
         "dbtable": f"{schema}.{table}",
@@ -32,7 +36,7 @@ def jdbc_options(
             "partitionColumn": "user_id",
             "lowerBound": str(low),
             "upperBound": str(high),
-            "numPartitions": str(partitions),
+            "numPartitions": str(partitions or 32),
         }
     return options
 

@@ -2,10 +2,11 @@
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from marlstone.sources.landing import envelope
+from marlstone.sources.landing import envelope, rejected_responses
 from marlstone.sources.tables import Warehouse
 
 
@@ -16,10 +17,13 @@ def start_ingest(
     checkpoint: str,
     every: str | None = None,
     on_rejected: Callable[[DataFrame], None] | None = None,
+    parse: Callable[[DataFrame], DataFrame] | None = None,
+    on_rejected_responses: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Append a stream of records to a bronze table.
 
-    `records` is a streaming frame from the `*_records` functions. A batch that
+    `records` is a streaming frame from the `*_records` functions, or of
+    responses that `parse` turns into records. A batch that
     is replayed after a failure carries the same arrival times, so appending
     only what is missing makes every record land exactly once. With `every`
     (e.g. "2 minutes") the stream keeps following the folder; without it, it
@@ -27,13 +31,22 @@ def start_ingest(
 
     A record that fails the required-column gate stops the stream, unless
     `on_rejected` is given: it receives each batch's records, to keep those
-    that `rejected_records` finds, and the good ones are appended.
+    that `rejected_records` finds, and the good ones are appended. A lenient
+    `parse` leaves out whole responses; `on_rejected_responses` receives those.
+    The batch is read once and kept while it is looked at and appended.
     """
 
     def append(batch: DataFrame, _: int) -> None:
-        if on_rejected is not None:
-            on_rejected(batch)
-        wh.append_once(table, envelope(batch, strict=on_rejected is None))
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if on_rejected_responses is not None:
+                on_rejected_responses(rejected_responses(batch))
+            found = batch if parse is None else parse(batch)
+            if on_rejected is not None:
+                on_rejected(found)
+            wh.append_once(table, envelope(found, strict=on_rejected is None))
+        finally:
+            batch.unpersist()
 
     wh.create_bronze(table)
     return (

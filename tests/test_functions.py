@@ -126,6 +126,7 @@ def test_pairs_keep_nulls_and_read_numeric_text(spark):
     "value, places, expected",
     [
         (1.005, 2, 1.0), (2.675, 2, 2.68), (0.125, 2, 0.13), (-0.125, 2, -0.13),
+        (0.0049999999999999994, 2, 0.0), (0.49999999999999994, 0, 0.0), (0.5, 0, 1.0),
         (-0.0, 2, 0.0), (1e300, 2, 1e300), (-4.6e18, 4, -4.6e18), (0.00005, 4, 0.0001),
     ],
 )
@@ -164,10 +165,13 @@ def test_stable_avg_is_the_exact_average(spark, values):
 
 
 def test_stable_avg_beyond_its_range(spark):
-    huge = spark.createDataFrame([(1e300,), (3e300,)], "x double")
-    assert huge.agg(stable_avg(F.col("x"))).first()[0] == 2e300
-    nan = spark.createDataFrame([(1.0,), (float("nan"),)], "x double")
-    assert math.isnan(nan.agg(stable_avg(F.col("x"))).first()[0])
+    large = spark.createDataFrame([(4e15,), (-1.5,), (2e9,)] * 3, "x double")
+    assert large.agg(stable_avg(F.col("x"))).first()[0] == (4e15 + 2e9 - 1.5) / 3
+    for odd in (1e300, math.nan, math.inf):
+        df = spark.createDataFrame([(odd,), (2.0,)], "x double")
+        with pytest.raises(Exception):
+            df.agg(stable_avg(F.col("x"))).collect()
+        assert df.agg(stable_avg(F.col("x"), strict=False)).first()[0] == 2.0
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])

@@ -34,11 +34,33 @@ def test_each_element_becomes_a_row_of_one_batch(spark, tmp_path):
     assert {r.ingest_date for r in rows} == {dt.date(2026, 3, 1)}
 
 
-@pytest.mark.parametrize("limit, rows", [(300, 250), (250, 250), (100, 100), (3, 3)])
-def test_limit(spark, tmp_path, limit, rows):
-    folder = land(tmp_path / "m", "a.json", json.dumps(coins(260)))
-    records = landing.market_records(landing.read_responses(spark, folder), limit)
-    assert records.count() == rows
+def test_every_element_is_written(spark, tmp_path):
+    folder = land(tmp_path / "m", "a.json", json.dumps(coins(1260)))
+    assert landing.market_records(landing.read_responses(spark, folder)).count() == 1260
+
+
+def test_text_behind_the_array_is_rejected(spark, tmp_path):
+    folder = land(tmp_path / "m", "a.json", '[{"id": "a"}, {"id": "b"}] trailing')
+    responses = landing.read_responses(spark, folder)
+    assert landing.market_records(responses, strict=False).count() == 0
+    assert landing.rejected_responses(responses).count() == 1
+    with pytest.raises(Exception, match="not a JSON array"):
+        landing.market_records(responses).collect()
+
+
+def test_only_canonical_times_pass(spark):
+    times = [STAMP, "2024-01-02T01:00:00.000000+02:00", "2024-01-02T01:00:00Z", None]
+    records = spark.createDataFrame(
+        [(f"c{i}", None, "{}", t) for i, t in enumerate(times)],
+        "coin_id string, source_updated_at string, payload string, at string",
+    )
+    at = F.col("at")
+    good = landing.envelope(records, at, strict=False).collect()
+    bad = landing.rejected_records(records, at).collect()
+    assert [r.coin_id for r in good] == ["c0"]
+    assert sorted(r.coin_id for r in bad) == ["c1", "c2", "c3"]
+    with pytest.raises(Exception, match="not canonical UTC"):
+        landing.envelope(records.where("coin_id = 'c1'"), at).collect()
 
 
 def test_arrival_time_is_the_ingestion_time(spark, tmp_path):
@@ -121,4 +143,6 @@ def test_jdbc_options_split_by_user(spark):
         "fetchsize": "10000", "user": "u", "partitionColumn": "user_id",
         "lowerBound": "1", "upperBound": "1000", "numPartitions": "16",
     }
-    assert "partitionColumn" not in relational.jdbc_options("u", "s", "t")
+    assert "partitionColumn" not in relational.jdbc_options("u", "s", "t", partitions=1)
+    with pytest.raises(ValueError, match="bounds"):
+        relational.jdbc_options("u", "s", "t")

@@ -1,0 +1,104 @@
+"""Nothing malformed is lost without a trace, and one bad row stops nothing for good."""
+
+import datetime as dt
+import json
+from types import SimpleNamespace
+
+import pytest
+
+from marlstone import schemas as S
+from marlstone.plans import checks, serve, silver
+from marlstone.session import shared_dir
+from marlstone.sources import landing
+from marlstone.sources.tables import BRONZE_LAYER
+from marlstone.streaming.ingest import start_ingest
+
+T = "2026-03-01T00:00:0{}.000000+00:00"
+
+
+def test_last_good_document_stands_in(bronze):
+    raw = bronze(
+        ("a", T.format(1), '{"symbol": "a", "current_price": 1}'),
+        ("a", T.format(2), '{"symbol": "a", "current_price": 2}'),
+        ("a", T.format(3), '{"cut'),
+        ("b", T.format(1), '{"cut'),
+        ("c", T.format(1), '{"cut'),
+        ("c", T.format(2), '{"symbol": "c", "current_price": 3}'),
+    )
+    rows = silver.stg_markets(raw, strict=False).collect()
+    assert sorted((r.coin_id, r.current_price) for r in rows) == [("a", 2.0), ("c", 3.0)]
+    assert silver.quarantined(raw).count() == 3
+
+
+def test_lenient_choice_parses_after_the_rank(bronze):
+    raw = bronze(("a", T.format(1), "{}"))
+    plan = silver.newest_documents(raw, strict=False)._jdf.queryExecution()
+    first = plan.optimizedPlan().toString().split("Union", 1)[1].split("Join", 1)[0]
+    assert first.index("try_parse_json" if "try_parse_json" in first else "parse") < first.index("Window")
+
+
+def test_prices_that_do_not_fit_are_named(bronze):
+    raw = bronze(
+        ("a", T.format(1), '{"prices": {"x": 1}}'),
+        ("b", T.format(1), '{"prices": null}'),
+        ("c", T.format(1), "{}"),
+        ("d", T.format(1), '{"prices": [[1, 2.5], [3], [4, "x"], 5, [6, null]]}'),
+        ("e", T.format(1), '{"prices"'),
+        ("f", T.format(1), '{"prices": "text"}'),
+    )
+    bad = silver.quarantined_prices(raw).collect()
+    assert sorted(r.coin_id for r in bad) == ["a", "e", "f"]
+    points = silver.quarantined_points(raw).collect()
+    assert {r.coin_id for r in points} == {"d"} and len(points) == 3
+
+
+def test_live_view_survives_a_bad_row(bronze):
+    raw = bronze(
+        ("a", T.format(1), '{"symbol": "btc", "current_price": 1, "name": "x"}'),
+        ("a", T.format(2), "{bad btc"),
+        ("a", T.format(3), '{"symbol": "btc", "current_price": "abc"}'),
+    )
+    with pytest.raises(Exception):
+        serve.live_prices(raw, "btc").collect()
+    prices = [r.live_price for r in serve.live_prices(raw, "btc", strict=False).collect()]
+    assert prices == [1.0, None]
+    assert serve.bronze_fields(raw, strict=False).count() == 3
+
+
+def test_stream_hands_over_error_objects(spark, wh, tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / "a.json").write_text(json.dumps([{"id": "btc"}]))
+    (folder / "b.json").write_text('{"status": {"error_code": 429}}')
+    rejected = []
+    start_ingest(
+        wh,
+        S.RAW_MARKETS,
+        landing.stream_responses(spark, str(folder)),
+        f"{wh.root}/checkpoint",
+        parse=lambda batch: landing.market_records(batch, strict=False),
+        on_rejected_responses=lambda df: rejected.extend(r.value for r in df.collect()),
+    ).awaitTermination()
+    assert [json.loads(r)["status"]["error_code"] for r in rejected] == [429]
+    assert [r.coin_id for r in wh.table(BRONZE_LAYER, S.RAW_MARKETS).collect()] == ["btc"]
+
+
+def test_limits_do_not_cut_in_silence(spark):
+    assert len(serve.fetch(spark.range(5), 5)) == 5
+    with pytest.raises(ValueError, match="more than 4"):
+        serve.fetch(spark.range(5), 4)
+
+
+def test_moments_need_an_offset(bronze):
+    with pytest.raises(ValueError, match="offset"):
+        checks.as_of(bronze(("a", T.format(1), "{}")), dt.datetime(2026, 3, 1))
+
+
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]", "spark://x:7077"])
+def test_no_local_folder_on_a_cluster(master):
+    conf = {"spark.master": master}
+    spark = SimpleNamespace(conf=SimpleNamespace(get=conf.get))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(spark, "x")
+    conf["spark.checkpoint.dir"] = "s3a://shared/"
+    assert shared_dir(spark, "x").startswith("s3a://shared/x-")

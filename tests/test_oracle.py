@@ -11,7 +11,7 @@ def con():
     return connect(entry.SMOKE_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.library_queries()))
 def test_query_equals_oracle(spark, con, name):
     sql = entry.oracle_sql()[name]
     assert differences(spark, con, entry.queries()[name], sql, entry.SMOKE_DIR) == {}

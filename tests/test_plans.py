@@ -61,7 +61,8 @@ def test_a_payload_is_parsed_once_and_after_the_choice(events):
 
 
 def test_days_without_newest_rows_are_not_read(raw_table):
-    text = plan(silver.stg_markets(raw_table))
+    assert "dynamicpruning" not in plan(silver.stg_markets(raw_table))
+    text = plan(silver.stg_markets(raw_table, skip_days=True))
     assert "dynamicpruning" in text
     # Finding the days reads the coin's column and nothing of the payload.
     assert "ReadSchema: struct<coin_id:string>\n" in text
@@ -83,16 +84,34 @@ def test_live_prices_keep_n_rows_per_task_and_skip_days(raw_table):
     assert "ReadSchema: struct<ingested_at:string,payload:string>" in text
 
 
-def test_a_common_symbol_needs_the_newest_days_only(wh, raw_table):
+def test_a_common_symbol_needs_the_newest_days_only(wh, raw_table, monkeypatch):
+    series, steps = serve.live_prices, []
+
+    def recorded(raw, symbol, n, **more):
+        made = series(raw, symbol, n, **more)
+        found = re.search(
+            r"PartitionFilters:.*ingest_date#\d+ >= (\S+?)\).*ingest_date#\d+ <= (\S+?)\)",
+            plan(made),
+        )
+        if found:
+            steps.append(found.groups())
+        return made
+
+    monkeypatch.setattr(serve, "live_prices", recorded)
+
     def days_read(symbol, n):
-        text = plan(jobs.newest_live_prices(wh, symbol, n))
-        return re.findall(r"PartitionFilters:.*ingest_date#\d+ >= (\S+?)\)", text)
+        steps.clear()
+        rows = jobs.newest_live_prices(wh, symbol, n).collect()
+        assert rows == series(raw_table, symbol, n).collect()
+        return list(steps)
 
     days = wh.days(S.RAW_MARKETS)
     assert days == sorted(days, reverse=True) and len(days) == 30
-    assert days_read("error", 2) == [str(days[0])]
-    assert days_read("error", 15) == [str(days[3])]
-    assert days_read("nobody", 2) == []
+    at = lambda a, b: (str(days[b]), str(days[a]))
+    assert days_read("error", 2) == [at(0, 0)]
+    # Each step reads the days it adds.
+    assert days_read("error", 15) == [at(0, 0), at(1, 3)]
+    assert days_read("nobody", 2) == [at(0, 0), at(1, 3), at(4, 15), at(16, 29)]
 
 
 def test_live_series_of_all_symbols_are_cut_before_the_shuffle(events):
@@ -192,7 +211,7 @@ def test_quality_report_needs_no_window_over_the_result(spark):
     assert "Window [" not in tree(entry.quality_report(spark, SF)).split("HashAggregate")[0]
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(entry.library_queries()) - EAGER))
 def test_no_python_and_no_cross_join_in_any_plan(spark, name):
     text = tree(entry.queries()[name](spark, SF))
     for node in ("Python", "Pandas", "Cartesian", "NestedLoop"):

@@ -96,7 +96,7 @@ def test_dashboard_headings_and_order(spark):
         "Rank", "Coin", "Symbol", "Price (USD)", "Market Cap (B)", "24h Change (%)", "Trend",
     ]
     assert [r.Coin for r in got.collect()] == ["A", "B", "Z"]
-    assert list(serve.fetch(got, 2)["Coin"]) == ["A", "B"]
+    assert list(serve.fetch(got, 3)["Coin"]) == ["A", "B", "Z"]
 
 
 def test_coin_header(spark):
