@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from marlstone import bindings as B
 from marlstone import schemas as S
 from marlstone.functions import sql as sql_functions
-from marlstone.functions.json import as_bigint, parse_payload
+from marlstone.functions.json import as_bigint, as_double, json_pairs, parse_payload
 from marlstone.functions.json import json_scalar as scalar
 from marlstone.functions.time import utc_wall_clock
+from marlstone.functions.numeric import round_half_up
 from marlstone.operators.latest import latest_per_key as newest_row_per_key
 from marlstone.plans import checks, gold, jobs, serve, silver
 from marlstone.session import shared_dir
@@ -128,19 +129,69 @@ def landing_markets(spark, sf_dir):
     )
 
 
+def _land_per_coin(responses: DataFrame, purpose: str) -> DataFrame:
+    """Responses written as text under coin_id=<id> folders and read back."""
+    folder = shared_dir(responses.sparkSession, purpose)
+    rows = responses.select("coin_id", "value").hint("rebalance", F.col("coin_id"))
+    rows.write.partitionBy("coin_id").text(folder)
+    return landing.read_responses(
+        responses.sparkSession, folder, per_coin=True, whole_files=False
+    )
+
+
 def landing_coin_details(spark, sf_dir):
     part = B.table(spark, sf_dir, "part")
-    records = landing.coin_details_records(B.coin_detail_responses(part))
-    return landing.envelope(records, B.LOADED_AT).select(
-        "coin_id", "source_updated_at", "ingested_at"
+    landed = _land_per_coin(B.coin_detail_responses(part), "landing_coin_details")
+    rows = landing.envelope(landing.coin_details_records(landed), B.LOADED_AT)
+    doc = parse_payload("payload").alias("doc")
+    return rows.select("coin_id", "source_updated_at", "ingested_at", doc).select(
+        "coin_id",
+        "source_updated_at",
+        "ingested_at",
+        scalar("doc", "$.name").alias("name"),
+        scalar("doc", "$.links.homepage[1]").alias("brand"),
+        as_double(scalar("doc", "$.market_data.current_price.usd")).alias("price"),
     )
 
 
 def landing_historical_prices(spark, sf_dir):
+    """Each landed payload with its number of points and their sum in cents."""
     responses = B.historical_price_responses(_events(spark, sf_dir))
-    records = landing.historical_prices_records(responses)
-    return landing.envelope(records, B.LOADED_AT).select(
-        "coin_id", "source_updated_at", "ingested_at"
+    landed = _land_per_coin(responses, "landing_historical_prices")
+    rows = landing.envelope(landing.historical_prices_records(landed), B.LOADED_AT)
+    prices = json_pairs("doc", "$.prices")
+    doc = parse_payload("payload").alias("doc")
+    return rows.select("coin_id", "source_updated_at", "ingested_at", doc).select(
+        "coin_id",
+        "source_updated_at",
+        "ingested_at",
+        F.size(prices).cast("bigint").alias("n_points"),
+        F.aggregate(
+            prices,
+            F.lit(0).cast("bigint"),
+            lambda total, p: total + F.round(p[1] * 100).cast("bigint"),
+        ).alias("cents"),
+    )
+
+
+def rejected_times(spark, sf_dir):
+    """Rows whose ingestion time is no canonical UTC text are set aside."""
+    events = _events(spark, sf_dir)
+    moved = F.replace(B.iso_wall_clock(F.col("ts")), F.lit("+00:00"), F.lit("+02:00"))
+    at = F.when(F.col("event_type") == "error", moved).otherwise(
+        B.iso_wall_clock(F.col("ts"))
+    )
+    records = events.select(
+        F.col("event_id").cast("string").alias("coin_id"),
+        F.lit(None).cast("string").alias("source_updated_at"),
+        F.col("props").alias("payload"),
+        at.alias("at"),
+    )
+    kept = landing.envelope(records, F.col("at"), strict=False)
+    rejected = landing.rejected_records(records, F.col("at"))
+    return (
+        kept.select("coin_id", F.lit(True).alias("kept"))
+        .unionByName(rejected.select("coin_id", F.lit(False).alias("kept")))
     )
 
 
@@ -155,11 +206,20 @@ def rejected_records(spark, sf_dir):
 
 
 def bronze_append(spark, sf_dir):
-    """Append to a day-partitioned table and read back three columns."""
+    """Append to a day-partitioned table and read back, the payload's fields too."""
     wh = _warehouse(spark, "bronze_append")
     _backfill_markets(wh, sf_dir)
-    return wh.table(BRONZE_LAYER, S.RAW_MARKETS).select(
-        "coin_id", "ingested_at", F.col(S.PARTITION_COLUMN)
+    doc = parse_payload("payload").alias("doc")
+    return (
+        wh.table(BRONZE_LAYER, S.RAW_MARKETS)
+        .select("coin_id", "ingested_at", S.PARTITION_COLUMN, doc)
+        .select(
+            "coin_id",
+            "ingested_at",
+            S.PARTITION_COLUMN,
+            as_bigint(scalar("doc", "$.market_cap_rank")).alias("event_id"),
+            as_double(scalar("doc", "$.current_price")).alias("price"),
+        )
     )
 
 
@@ -227,6 +287,33 @@ def stg_markets(spark, sf_dir):
     return silver.stg_markets(_raw_markets(spark, sf_dir))
 
 
+def _cut(raw: DataFrame, event_type: str) -> DataFrame:
+    """`raw` with the documents of one event type cut short."""
+    cut = F.col("payload").contains(f'"{event_type}"')
+    payload = F.when(cut, F.left("payload", F.lit(20))).otherwise(F.col("payload"))
+    return raw.withColumn("payload", payload)
+
+
+def stg_markets_lenient(spark, sf_dir):
+    """A coin whose newest documents are cut short keeps its last good one."""
+    return silver.stg_markets(_cut(_raw_markets(spark, sf_dir), "error"), strict=False)
+
+
+def live_prices_lenient(spark, sf_dir):
+    """Documents of another symbol that are cut short do not stop the series."""
+    raw = _cut(_raw_markets(spark, sf_dir), "purchase")
+    live = serve.live_prices(raw, SYMBOL, strict=False)
+    return live.withColumn("time", utc_wall_clock(F.col("time")))
+
+
+def rounded_charges(spark, sf_dir):
+    """Rounding of products of doubles, many of them next to a tie."""
+    charge = F.col("l_extendedprice") * F.col("l_discount")
+    return B.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", round_half_up(charge, 2).alias("charge")
+    )
+
+
 def stg_coin_details(spark, sf_dir):
     part = B.table(spark, sf_dir, "part")
     records = landing.coin_details_records(B.coin_detail_responses(part))
@@ -380,6 +467,26 @@ def refresh_all(spark, sf_dir):
     return wh.table(GOLD_LAYER, S.MART_WATCHLIST_ENRICHED)
 
 
+def refresh_all_coin_details(spark, sf_dir):
+    """The coin details that a refresh of the three staging tables publishes."""
+    wh = _landed_warehouse(spark, sf_dir, "refresh_all_coin_details")
+    jobs.refresh_silver(wh)
+    return wh.table(SILVER_LAYER, S.STG_COIN_DETAILS)
+
+
+def refresh_all_historical_prices(spark, sf_dir):
+    wh = _landed_warehouse(spark, sf_dir, "refresh_all_historical_prices")
+    jobs.refresh_silver(wh)
+    points = wh.table(SILVER_LAYER, S.STG_HISTORICAL_PRICES)
+    return points.withColumn("price_timestamp", utc_wall_clock(F.col("price_timestamp")))
+
+
+def refresh_all_market_summary(spark, sf_dir):
+    wh = _landed_warehouse(spark, sf_dir, "refresh_all_market_summary")
+    jobs.refresh_all(wh)
+    return wh.table(GOLD_LAYER, S.MART_MARKET_SUMMARY).drop("symbol")
+
+
 def stream_ingest(spark, sf_dir):
     """Landed responses followed by a stream into the bronze table."""
     wh = _warehouse(spark, "stream_ingest")
@@ -448,6 +555,13 @@ def library_queries() -> dict[str, Query]:
             latest_per_key,
             json_scalar,
             stg_markets,
+            stg_markets_lenient,
+            live_prices_lenient,
+            rejected_times,
+            rounded_charges,
+            refresh_all_coin_details,
+            refresh_all_historical_prices,
+            refresh_all_market_summary,
             stg_coin_details,
             stg_historical_prices,
             market_summary,
@@ -595,18 +709,33 @@ def oracle_sql() -> dict[str, str]:
         "landing_coin_details": f"""
             SELECT CAST(p_partkey AS VARCHAR) AS coin_id,
                    'u' || CAST(p_size AS VARCHAR) AS source_updated_at,
-                   '{B.LOADED_AT}' AS ingested_at
+                   '{B.LOADED_AT}' AS ingested_at, p_name AS name,
+                   p_brand AS brand, p_retailprice AS price
             FROM part""",
         "landing_historical_prices": f"""
-            SELECT coin_id, CAST(NULL AS VARCHAR) AS source_updated_at,
-                   '{B.LOADED_AT}' AS ingested_at
-            FROM (SELECT * FROM ({_CHUNKS}) UNION ALL SELECT * FROM ({_CHUNKS}))""",
+            SELECT CAST(user_id AS VARCHAR) || '-' ||
+                   CAST(event_id // {B.POINTS_PER_PAYLOAD} AS VARCHAR) AS coin_id,
+                   CAST(NULL AS VARCHAR) AS source_updated_at,
+                   '{B.LOADED_AT}' AS ingested_at, count(*) AS n_points,
+                   CAST(sum(CASE WHEN stale THEN -100 ELSE round(value * 100) END)
+                        AS BIGINT) AS cents
+            FROM events, (VALUES (true), (false)) AS v(stale)
+            GROUP BY user_id, event_id // {B.POINTS_PER_PAYLOAD}, stale""",
+        "rejected_times": """
+            SELECT CAST(event_id AS VARCHAR) AS coin_id, event_type <> 'error' AS kept
+            FROM events""",
+        "stg_markets_lenient": _stg_markets("event_type <> 'error'"),
+        "live_prices_lenient": _NEWEST_LIVE,
+        "rounded_charges": """
+            SELECT l_orderkey, l_linenumber,
+                   round(l_extendedprice * l_discount, 2) AS charge
+            FROM lineitem""",
         "rejected_records": """
             SELECT CAST(event_id AS VARCHAR) AS coin_id, '{"cut' AS payload
             FROM events WHERE event_type = 'error'""",
         "bronze_append": f"""
             SELECT CAST(user_id AS VARCHAR) AS coin_id, {_TS} AS ingested_at,
-                   CAST(ts AS DATE) AS ingest_date
+                   CAST(ts AS DATE) AS ingest_date, event_id, value AS price
             FROM events""",
         "bronze_append_once": """
             SELECT CAST(user_id AS VARCHAR) AS coin_id, count(*) AS n_rows
@@ -646,6 +775,24 @@ def oracle_sql() -> dict[str, str]:
                    date_trunc('milliseconds', ts) AS price_timestamp,
                    value AS price_usd, '{B.LOADED_AT}' AS ingested_at
             FROM events""",
+        "refresh_all_coin_details": f"""
+            SELECT CAST(p_partkey AS VARCHAR) AS coin_id, lower(p_brand) AS symbol,
+                   p_name AS name, p_type AS hashing_algorithm,
+                   CAST(NULL AS VARCHAR) AS genesis_date, p_name AS homepage,
+                   p_retailprice AS current_price_usd,
+                   p_retailprice * 1e6 AS market_cap_usd,
+                   p_retailprice * 1e5 AS total_volume_usd,
+                   p_retailprice - 1000 AS price_change_24h_pct,
+                   CAST(NULL AS BIGINT) AS twitter_followers,
+                   '{B.LOADED_AT}' AS ingested_at
+            FROM part""",
+        "refresh_all_historical_prices": f"""
+            SELECT CAST(user_id AS VARCHAR) || '-' ||
+                   CAST(event_id // {B.POINTS_PER_PAYLOAD} AS VARCHAR) AS coin_id,
+                   date_trunc('milliseconds', ts) AS price_timestamp,
+                   value AS price_usd, '{B.LOADED_AT}' AS ingested_at
+            FROM events""",
+        "refresh_all_market_summary": f"SELECT * EXCLUDE (symbol) FROM ({_SUMMARY})",
         "market_summary": _SUMMARY,
         "price_history": _history(
             "SELECT CAST(user_id AS VARCHAR) AS coin_id, "
