@@ -3,19 +3,15 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.session import shared_dir
 
-DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -37,32 +33,6 @@ def in_remainder(column: str, modulus: int, remainder: int):
     return F.crc32(key.cast("binary")) % modulus == remainder
 
 
-def arrow_map(
-    df: DataFrame,
-    rows: Callable[[pa.RecordBatch], Iterator[dict]] | Callable,
-    schema: str,
-) -> DataFrame:
-    """mapInArrow where `rows` takes one record batch and returns a dict of columns."""
-    from pyspark.sql.types import StructType
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    target = to_arrow_schema(StructType.fromDDL(schema))
-
-    def run(batches):
-        for batch in batches:
-            made = rows(batch)
-            if made is not None:
-                arrays = [
-                    made[f.name]
-                    if isinstance(made[f.name], pa.Array)
-                    else pa.array(made[f.name], f.type, from_pandas=True)
-                    for f in target
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, schema=target)
-
-    return df.mapInArrow(run, schema)
-
-
 # -- Bloom filters -------------------------------------------------------------
 
 MAX_BITS = 1 << 27
@@ -90,10 +60,19 @@ def mixed_pair(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def passes(words: np.ndarray, low: np.ndarray, high: np.ndarray, hashes: int) -> np.ndarray:
-    bits = words.size * 64
-    found = np.ones(low.size, dtype=bool)
-    for at in positions(low, high, bits, hashes):
-        found &= (words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    """Which keys pass; each further hash looks only at those that passed so far."""
+    last = np.uint64(words.size * 64 - 1)
+    found = np.zeros(low.size, dtype=bool)
+    left = np.arange(low.size)
+    step = high | np.uint64(1)
+    for k in range(hashes):
+        if not left.size:
+            break
+        with np.errstate(over="ignore"):
+            at = (low + np.uint64(k) * step) & last
+        set_ = (words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        left, low, step = left[set_], low[set_], step[set_]
+    found[left] = True
     return found
 
 

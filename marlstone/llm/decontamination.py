@@ -49,6 +49,7 @@ MISMATCH = -2
 CONTEXT = 96
 """Words kept on either side of a hit for comparing."""
 
+WORDS_AT_ONCE = 100_000
 FILTER_RATE = 1e-6
 FILTER_HASHES = 20
 
@@ -128,14 +129,24 @@ def _parts(documents: DataFrame, seed_rows: DataFrame) -> DataFrame:
         FILTER_HASHES,
     )
 
-    def cut(words: np.ndarray) -> Iterator[tuple[int, np.ndarray, list]]:
-        hits = []
+    def hits_of(texts: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
+        """(place, mask, hash) of the passing seeds of each text, all at once."""
+        words = np.concatenate(texts)
+        ends = np.cumsum([t.size for t in texts])
+        hits: list[list[tuple[int, int, int]]] = [[] for _ in texts]
         for mask, found in seeds(words, short):
-            if found.size:
-                passed = passes(filled, *mixed_pair(found), FILTER_HASHES)
-                (at,) = np.nonzero(passed)
-                own = found[at].view("int64")
-                hits += zip(at.tolist(), [mask] * at.size, own.tolist())
+            width = words.size - found.size
+            (at,) = np.nonzero(passes(filled, *mixed_pair(found), FILTER_HASHES))
+            text = np.searchsorted(ends, at, side="right")
+            inside = at + width < ends[text]
+            at, text = at[inside], text[inside]
+            places = at - (ends - [t.size for t in texts])[text]
+            own = found[at].view("int64")
+            for t, place, h in zip(text.tolist(), places.tolist(), own.tolist()):
+                hits[t].append((place, mask, h))
+        return hits
+
+    def cut(words: np.ndarray, hits: list) -> Iterator[tuple[int, np.ndarray, list]]:
         hits.sort()
         start = 0
         for i in range(1, len(hits) + 1):
@@ -150,18 +161,25 @@ def _parts(documents: DataFrame, seed_rows: DataFrame) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
+        columns = ["doc_id", "no_id", "h1", "h2"]
         for frame in frames:
-            rows = []
-            columns = (frame[c] for c in ("doc_id", "no_id", "h1", "h2", "text"))
-            for *key, text in zip(*columns):
-                for first, words, hits in cut(hashes.of(text)):
-                    raw = words.tobytes()
-                    part = xxhash.xxh3_128_digest(repr((key, first)).encode() + raw)
-                    rows.append((*key, part, first, raw, hits))
-            yield pd.DataFrame(
-                rows,
-                columns=["doc_id", "no_id", "h1", "h2", "part", "first", "words", "hits"],
-            )
+            rows, keys, texts, size = [], [], [], 0
+            every = list(zip(*(frame[c] for c in columns)))
+            for n, text in enumerate(frame["text"]):
+                words = hashes.of(text)
+                if words.size:
+                    keys.append(every[n])
+                    texts.append(words)
+                    size += words.size
+                if texts and (size >= WORDS_AT_ONCE or n + 1 == len(frame)):
+                    for key, own, hits in zip(keys, texts, hits_of(texts)):
+                        for first, part_words, part_hits in cut(own, hits):
+                            raw = part_words.tobytes()
+                            named = repr((key, first)).encode() + raw
+                            part = xxhash.xxh3_128_digest(named)
+                            rows.append((*key, part, first, raw, part_hits))
+                    keys, texts, size = [], [], 0
+            yield pd.DataFrame(rows, columns=[*columns, "part", "first", "words", "hits"])
 
     return documents.select(
         F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"),

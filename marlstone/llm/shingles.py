@@ -48,12 +48,12 @@ def runs(words: np.ndarray, offsets: tuple[int, ...]) -> np.ndarray:
     n = words.size - max(offsets)
     if n <= 0:
         return np.empty(0, dtype=np.uint64)
-    total = np.zeros(n, dtype=np.uint64)
+    total = np.full(n, len(offsets), dtype=np.uint64)
     with np.errstate(over="ignore"):
-        for k, at in enumerate(offsets):
-            total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + words[at : at + n])
-            total += np.uint64(k + 1)
-    return total
+        for at in offsets:
+            total *= np.uint64(0x9E3779B97F4A7C15)
+            total += words[at : at + n]
+    return mixed(total)
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
