@@ -22,7 +22,9 @@ import numpy as np
 
 BLOCK = 1 << 16
 LEAST_BLOCK = 128
-MAX_RUNS = 12
+MAX_RUNS = 6
+NEARLY_DIFFERENT = 0.6
+"""Share of different names from which the recursion ends."""
 RESIDENT_ENTRIES = 1 << 20
 """Longer runs go to a file."""
 
@@ -303,9 +305,35 @@ def _sorted_seeds(text, letters, rising, scratch) -> np.ndarray:
         return order
     named = np.zeros(text.size, dtype=np.int64)
     named[order] = names
+    if names[-1] + 1 >= NEARLY_DIFFERENT * seeds.size:
+        return seeds[_by_doubling(named[seeds])]
     return seeds[suffix_order(named[seeds], int(names[-1]) + 1, scratch)]
 
 
+def _by_doubling(names: np.ndarray) -> np.ndarray:
+    """Order of suffixes where few names are equal: their groups are split by what
+    follows, twice as far each time."""
+    order = np.argsort(names, kind="stable")
+    n, step = names.size, 1
+    sorted_ = names[order]
+    fresh = np.r_[True, sorted_[1:] != sorted_[:-1]]
+    while not fresh.all():
+        group = np.nonzero(fresh)[0][np.cumsum(fresh) - 1]
+        rank = np.empty(n + 1, dtype=np.int64)
+        rank[order], rank[n] = group, -1
+        tied = ~fresh | ~np.r_[fresh[1:], True]
+        (at,) = np.nonzero(tied)
+        own = order[at]
+        after = rank[np.minimum(own + step, n)]
+        by = np.lexsort((after, group[at]))
+        order[at] = own[by]
+        after, own_group = after[by], group[at][by]
+        differs = np.r_[True, (after[1:] != after[:-1]) | (own_group[1:] != own_group[:-1])]
+        fresh[at] |= differs
+        step *= 2
+    return order
+
+
 def suffix_order(text: np.ndarray, letters: int, scratch: Scratch) -> np.ndarray:
     """Starts of all suffixes, sorted. `text` ends with its only 0."""
     if text.size == letters:

@@ -30,8 +30,9 @@ from marlstone.llm.induced_sorting import Scratch, suffixes
 from marlstone.llm.shingles import mixed
 
 LENGTH = 400
-ANCHOR = 128
-SHARD_BYTES = 4_000_000
+ANCHOR = 256
+"""Longer anchors: fewer fragments to sort, more to count."""
+SHARD_BYTES = 1_500_000
 """Fragments in a shard, on average."""
 
 FILTER_RATE = 0.01
@@ -88,25 +89,20 @@ class Fragments:
             yield first + begin, count, anchor
 
 
-FRAGMENT_COLUMNS = ["anchor", "f1", "f2"]
+FRAGMENT_COLUMNS = ["anchor", "name"]
+"""Hashes of the anchor and of the whole fragment, together 128 bits."""
 
 
 def _named(raw: bytes, cutter: Fragments) -> tuple[np.ndarray, ...]:
-    """first, count, anchor, f1, f2 of a text's fragments."""
+    """first, count, anchor, name of a text's fragments."""
     parts = list(cutter.of(np.frombuffer(raw, dtype=np.uint8)))
     if not parts:
         empty = np.empty(0, dtype=np.int64)
-        return empty, empty, empty, empty, empty
+        return empty, empty, empty, empty
     first, count, anchor = (np.concatenate(x) for x in zip(*parts))
-    digest = xxhash.xxh3_128_digest
-    names = b"".join(
-        [
-            digest(raw[a:b])
-            for a, b in zip(first.tolist(), (first + count + LENGTH - 1).tolist())
-        ]
-    )
-    both = np.frombuffer(names, dtype="<i8").reshape(-1, 2)
-    return first, count, anchor.view(np.int64), both[:, 0], both[:, 1]
+    digest, ends = xxhash.xxh3_64_intdigest, first + count + LENGTH - 1
+    name = [digest(raw[a:b]) for a, b in zip(first.tolist(), ends.tolist())]
+    return first, count, anchor.view(np.int64), np.array(name, np.uint64).view(np.int64)
 
 
 def _bytes_and_hashes(documents: DataFrame) -> DataFrame:
@@ -118,7 +114,7 @@ def _bytes_and_hashes(documents: DataFrame) -> DataFrame:
 
 
 def _fragments(documents: DataFrame) -> DataFrame:
-    """(h1, h2, first, count, anchor, f1, f2) for each fragment of each row."""
+    """(h1, h2, first, count, anchor, name) for each fragment of each row."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter = Fragments()
@@ -137,14 +133,14 @@ def _fragments(documents: DataFrame) -> DataFrame:
 
     return _bytes_and_hashes(documents).mapInPandas(
         cut,
-        "first int, count int, anchor long, f1 long, f2 long, h1 long, h2 long",
+        "first int, count int, anchor long, name long, h1 long, h2 long",
     )
 
 
 def _contents(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(anchor, f1, f2, content) of fragments in `wanted`, and of a few more."""
+    """(anchor, name, content) of fragments in `wanted`, and of a few more."""
     bits = bits_for(wanted.count(), FILTER_RATE)
-    hashed = wanted.select(F.col("f1").alias("low"), F.col("f2").alias("high"))
+    hashed = wanted.select(F.col("anchor").alias("low"), F.col("name").alias("high"))
     words = bloom_words(hashed, bits, FILTER_HASHES)
 
     def pick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -152,14 +148,15 @@ def _contents(documents: DataFrame, wanted: DataFrame) -> DataFrame:
         for frame in frames:
             rows = []
             for raw in frame["raw"]:
-                first, count, anchor, f1, f2 = _named(raw, cutter)
-                found = passes(words, f1.view("uint64"), f2.view("uint64"), FILTER_HASHES)
+                first, count, anchor, name = _named(raw, cutter)
+                low, high = anchor.view("uint64"), name.view("uint64")
+                found = passes(words, low, high, FILTER_HASHES)
                 for i in np.nonzero(found)[0]:
-                    name = (int(anchor[i]), int(f1[i]), int(f2[i]))
-                    if name not in seen:
-                        seen.add(name)
+                    key = (int(anchor[i]), int(name[i]))
+                    if key not in seen:
+                        seen.add(key)
                         a = int(first[i])
-                        rows.append((*name, raw[a : a + int(count[i]) + LENGTH - 1]))
+                        rows.append((*key, raw[a : a + int(count[i]) + LENGTH - 1]))
                 if len(rows) >= 4096:
                     yield pd.DataFrame(rows, columns=[*FRAGMENT_COLUMNS, "content"])
                     rows = []
@@ -168,7 +165,7 @@ def _contents(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return (
         _bytes_and_hashes(documents)
         .select("raw")
-        .mapInPandas(pick, "anchor long, f1 long, f2 long, content binary")
+        .mapInPandas(pick, "anchor long, name long, content binary")
         .dropDuplicates(FRAGMENT_COLUMNS)
     )
 
@@ -206,10 +203,10 @@ def _sort_shard(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values(FRAGMENT_COLUMNS, ignore_index=True)
     rows = []
     names = zip(*(frame[c] for c in [*FRAGMENT_COLUMNS, "n"]))
-    for (anchor, f1, f2, n), flags in zip(names, repeated_in(list(frame["content"]))):
+    for (anchor, name, n), flags in zip(names, repeated_in(list(frame["content"]))):
         if n == 1:
             for a, b in zip(*stretches(flags)):
-                rows.append((anchor, f1, f2, a, b))
+                rows.append((anchor, name, a, b))
     return pd.DataFrame(rows, columns=[*FRAGMENT_COLUMNS, "begin", "end"])
 
 
@@ -244,7 +241,7 @@ def repeats(documents: DataFrame) -> DataFrame:
             .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
             .groupBy("shard")
             .applyInPandas(
-                _sort_shard, "anchor long, f1 long, f2 long, begin int, end int"
+                _sort_shard, "anchor long, name long, begin int, end int"
             )
         )
         found = found.unionByName(stored(sorted_, "suffix_sorted"))
