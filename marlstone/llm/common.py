@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from marlstone.session import shared_dir
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
