@@ -27,11 +27,18 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.common import bits_for, bloom_words, passes, stored, table
 from marlstone.llm.induced_sorting import Scratch, suffixes
-from marlstone.llm.shingles import mixed
+from marlstone.llm.shingles import WORDS, mixed
 
 LENGTH = 400
 ANCHOR = 256
 """Longer anchors: fewer fragments to sort, more to count."""
+
+PASSAGE_WORDS = 50
+"""The pipeline removes repeated passages of more words than this, or of LENGTH bytes."""
+PASSAGE_LENGTH = 100
+"""PASSAGE_WORDS + 1 words have 2 * PASSAGE_WORDS + 1 bytes at least."""
+PASSAGE_ANCHOR = 32
+
 SHARD_BYTES = 1_500_000
 """Fragments in a shard, on average."""
 
@@ -53,29 +60,30 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 class Fragments:
     """Cuts texts into fragments; keeps tables as long as the longest block so far."""
 
-    def __init__(self) -> None:
+    def __init__(self, length: int = LENGTH, anchor: int = ANCHOR) -> None:
+        self.length, self.anchor = length, anchor
         self.up = self.down = np.empty(0, dtype=np.uint64)
 
     def _hashes(self, raw: np.ndarray) -> np.ndarray:
-        """Of the ANCHOR bytes at each place."""
+        """Of the anchor bytes at each place."""
         if self.up.size <= raw.size:
             self.up = _powers(_FACTOR, raw.size + 1)
             self.down = _powers(_INVERSE, raw.size + 1)
-        n = raw.size - ANCHOR + 1
+        n = raw.size - self.anchor + 1
         with np.errstate(over="ignore"):
             total = np.zeros(raw.size + 1, dtype=np.uint64)
             np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self.up[: raw.size], out=total[1:])
-            return mixed((total[ANCHOR:] - total[:-ANCHOR]) * self.down[:n])
+            return mixed((total[self.anchor :] - total[: -self.anchor]) * self.down[:n])
 
     def of(self, raw: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """First window, number of windows and anchor hash of each fragment, by block."""
-        windows = raw.size - LENGTH + 1
+        windows = raw.size - self.length + 1
         for begin in range(0, max(windows, 0), BLOCK_WINDOWS):
             n = min(BLOCK_WINDOWS, windows - begin)
-            hashes = self._hashes(raw[begin : begin + n + LENGTH - 1])
+            hashes = self._hashes(raw[begin : begin + n + self.length - 1])
             # The place breaks ties, to the left.
             marked = hashes & ~np.uint64(0xFFFFFF) | np.arange(hashes.size, dtype=np.uint64)
-            width = LENGTH - ANCHOR + 1
+            width = self.length - self.anchor + 1
             rows = -(-hashes.size // width)
             padded = np.full(rows * width, np.iinfo(np.uint64).max)
             padded[: hashes.size] = marked
@@ -100,24 +108,24 @@ def _named(raw: bytes, cutter: Fragments) -> tuple[np.ndarray, ...]:
         empty = np.empty(0, dtype=np.int64)
         return empty, empty, empty, empty
     first, count, anchor = (np.concatenate(x) for x in zip(*parts))
-    digest, ends = xxhash.xxh3_64_intdigest, first + count + LENGTH - 1
+    digest, ends = xxhash.xxh3_64_intdigest, first + count + cutter.length - 1
     name = [digest(raw[a:b]) for a, b in zip(first.tolist(), ends.tolist())]
     return first, count, anchor.view(np.int64), np.array(name, np.uint64).view(np.int64)
 
 
-def _bytes_and_hashes(documents: DataFrame) -> DataFrame:
+def _bytes_and_hashes(documents: DataFrame, length: int) -> DataFrame:
     return documents.select(
         F.xxhash64("text").alias("h1"),
         F.xxhash64(F.lit(1), "text").alias("h2"),
         F.coalesce("text", F.lit("")).cast("binary").alias("raw"),
-    ).where(F.length("raw") >= LENGTH)
+    ).where(F.length("raw") >= length)
 
 
-def _fragments(documents: DataFrame) -> DataFrame:
+def _fragments(documents: DataFrame, length: int, anchor: int) -> DataFrame:
     """(h1, h2, first, count, anchor, name) for each fragment of each row."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cutter = Fragments()
+        cutter = Fragments(length, anchor)
         for frame in frames:
             for at in range(0, len(frame), 256):
                 part = frame.iloc[at : at + 256]
@@ -131,47 +139,49 @@ def _fragments(documents: DataFrame) -> DataFrame:
                 made["h2"] = np.repeat(part["h2"].to_numpy(), sizes)
                 yield made
 
-    return _bytes_and_hashes(documents).mapInPandas(
+    return _bytes_and_hashes(documents, length).mapInPandas(
         cut,
         "first int, count int, anchor long, name long, h1 long, h2 long",
     )
 
 
-def _contents(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+def _contents(
+    documents: DataFrame, wanted: DataFrame, length: int, anchor: int
+) -> DataFrame:
     """(anchor, name, content) of fragments in `wanted`, and of a few more."""
     bits = bits_for(wanted.count(), FILTER_RATE)
     hashed = wanted.select(F.col("anchor").alias("low"), F.col("name").alias("high"))
     words = bloom_words(hashed, bits, FILTER_HASHES)
 
     def pick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cutter, seen = Fragments(), set()
+        cutter, seen = Fragments(length, anchor), set()
         for frame in frames:
             rows = []
             for raw in frame["raw"]:
-                first, count, anchor, name = _named(raw, cutter)
-                low, high = anchor.view("uint64"), name.view("uint64")
+                first, count, own, name = _named(raw, cutter)
+                low, high = own.view("uint64"), name.view("uint64")
                 found = passes(words, low, high, FILTER_HASHES)
                 for i in np.nonzero(found)[0]:
-                    key = (int(anchor[i]), int(name[i]))
+                    key = (int(own[i]), int(name[i]))
                     if key not in seen:
                         seen.add(key)
                         a = int(first[i])
-                        rows.append((*key, raw[a : a + int(count[i]) + LENGTH - 1]))
+                        rows.append((*key, raw[a : a + int(count[i]) + length - 1]))
                 if len(rows) >= 4096:
                     yield pd.DataFrame(rows, columns=[*FRAGMENT_COLUMNS, "content"])
                     rows = []
             yield pd.DataFrame(rows, columns=[*FRAGMENT_COLUMNS, "content"])
 
     return (
-        _bytes_and_hashes(documents)
+        _bytes_and_hashes(documents, length)
         .select("raw")
         .mapInPandas(pick, "anchor long, name long, content binary")
         .dropDuplicates(FRAGMENT_COLUMNS)
     )
 
 
-def repeated_in(contents: list[bytes]) -> list[np.ndarray]:
-    """For each content, which of its windows of LENGTH bytes occur twice in all."""
+def repeated_in(contents: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
+    """For each content, which of its windows of `length` bytes occur twice in all."""
     sizes = np.array([len(c) for c in contents])
     text = np.ones(int(sizes.sum()) + len(contents) + 1, dtype=np.int32)
     text[-1] = 0
@@ -180,16 +190,16 @@ def repeated_in(contents: list[bytes]) -> list[np.ndarray]:
     for at, content in zip(starts, contents):
         text[at : at + len(content)] = np.frombuffer(content, dtype=np.uint8)
         text[at : at + len(content)] += 2
-        inside[at : at + max(len(content) - LENGTH + 1, 0)] = True
+        inside[at : at + max(len(content) - length + 1, 0)] = True
     with Scratch() as scratch:
-        order, shared = suffixes(text, 258, LENGTH, scratch)
+        order, shared = suffixes(text, 258, length, scratch)
     # Windows are within a content, so longer common prefixes only join windows.
-    alike = inside[order] & (shared >= LENGTH)
+    alike = inside[order] & (shared >= length)
     repeated = np.zeros(text.size, dtype=bool)
     repeated[order[alike]] = True
     repeated[order[np.nonzero(alike)[0] - 1]] = True
     return [
-        repeated[at : at + max(n - LENGTH + 1, 0)] for at, n in zip(starts, sizes)
+        repeated[at : at + max(n - length + 1, 0)] for at, n in zip(starts, sizes)
     ]
 
 
@@ -199,23 +209,25 @@ def stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(edges == 1)[0], np.nonzero(edges == -1)[0] - 1
 
 
-def _sort_shard(frame: pd.DataFrame) -> pd.DataFrame:
+def _sort_shard(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     frame = frame.sort_values(FRAGMENT_COLUMNS, ignore_index=True)
     rows = []
     names = zip(*(frame[c] for c in [*FRAGMENT_COLUMNS, "n"]))
-    for (anchor, name, n), flags in zip(names, repeated_in(list(frame["content"]))):
+    for (anchor, name, n), flags in zip(names, repeated_in(list(frame["content"]), length)):
         if n == 1:
             for a, b in zip(*stretches(flags)):
                 rows.append((anchor, name, a, b))
     return pd.DataFrame(rows, columns=[*FRAGMENT_COLUMNS, "begin", "end"])
 
 
-def repeats(documents: DataFrame) -> DataFrame:
+def repeats(
+    documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR
+) -> DataFrame:
     """(h1, h2, begin, end): where repeated strings start, first and last place.
 
     A row for each stretch within a fragment, by the hashes of the text.
     """
-    fragments = stored(_fragments(documents), "suffix_fragments")
+    fragments = stored(_fragments(documents, length, anchor), "suffix_fragments")
     different = stored(
         fragments.groupBy(*FRAGMENT_COLUMNS).agg(
             F.count("*").alias("n"), F.first("count").alias("count")
@@ -229,7 +241,7 @@ def repeats(documents: DataFrame) -> DataFrame:
         .select("anchor")
     )
     to_sort = stored(different.join(several, "anchor", "left_semi"), "suffix_to_sort")
-    total = to_sort.agg(F.sum(F.col("count") + LENGTH)).first()[0] or 0
+    total = to_sort.agg(F.sum(F.col("count") + length)).first()[0] or 0
     shards = -(-total // SHARD_BYTES)
     found = different.where("n > 1").select(
         *FRAGMENT_COLUMNS, F.lit(0).alias("begin"), (F.col("count") - 1).alias("end")
@@ -237,11 +249,11 @@ def repeats(documents: DataFrame) -> DataFrame:
     if shards:
         sorted_ = (
             to_sort.select(*FRAGMENT_COLUMNS, "n")
-            .join(_contents(documents, to_sort), FRAGMENT_COLUMNS)
+            .join(_contents(documents, to_sort, length, anchor), FRAGMENT_COLUMNS)
             .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
             .groupBy("shard")
             .applyInPandas(
-                _sort_shard, "anchor long, name long, begin int, end int"
+                lambda frame: _sort_shard(frame, length), "anchor long, name long, begin int, end int"
             )
         )
         found = found.unionByName(stored(sorted_, "suffix_sorted"))
@@ -258,23 +270,25 @@ def repeats(documents: DataFrame) -> DataFrame:
     )
 
 
-def removed_bytes(size: int, found) -> np.ndarray:
+def removed_bytes(size: int, found, length: int = LENGTH) -> np.ndarray:
     """Flags of the bytes that strings starting at `found` (begin, end) cover."""
     edges = np.zeros(size + 1, dtype=np.int64)
     for r in found:
         edges[r["begin"]] += 1
-        edges[r["end"] + LENGTH] -= 1
+        edges[r["end"] + length] -= 1
     return np.cumsum(edges)[:size] > 0
 
 
-def with_repeats(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def with_repeats(
+    documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR
+) -> tuple[DataFrame, DataFrame]:
     """Rows without any repeated string, and rows with a column `repeats`.
 
     Texts that may have some are told by a Bloom filter and joined to them; the
     first frame lacks only rows that may. Rows that pass by chance have a NULL.
     """
     found = stored(
-        repeats(documents)
+        repeats(documents, length, anchor)
         .groupBy("h1", "h2")
         .agg(F.collect_list(F.struct("begin", "end")).alias("repeats")),
         "suffix_repeats",
@@ -297,23 +311,25 @@ def with_repeats(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return plain, others.drop("_h1", "_h2", "_may", "_r1", "_r2")
 
 
-def remove_repeats(documents: DataFrame) -> DataFrame:
+def remove_repeats(
+    documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 for each row of `documents`.
 
     Bytes are those of the UTF-8 text, none for NULL. n_spans counts maximal runs
     of removed bytes; kept_sha256 is of the bytes that remain. Copies of a text of
-    LENGTH bytes or more lose all of it, the first as well. NULL ids and repeated
+    `length` bytes or more lose all of it, the first as well. NULL ids and repeated
     rows stay; other columns are ignored.
     """
     rows = documents.select("doc_id", "text")
-    plain, others = with_repeats(rows)
+    plain, others = with_repeats(rows, length, anchor)
     raw = F.coalesce("text", F.lit("")).cast("binary")
 
     def strip(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             made = []
             for content, found in zip(frame.pop("raw"), frame.pop("repeats")):
-                gone = removed_bytes(len(content), found if found is not None else ())
+                gone = removed_bytes(len(content), found if found is not None else (), length)
                 kept = np.frombuffer(content, dtype=np.uint8)[~gone].tobytes()
                 made.append(
                     (int(gone.sum()), len(stretches(gone)[0]), hashlib.sha256(kept).hexdigest())
@@ -353,13 +369,26 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
-def without_repeats(documents: DataFrame) -> DataFrame:
+def words_within(text: str, begin: int, end: int) -> int:
+    """Whole words of `text` in text[begin:end]."""
+    n = len(WORDS.findall(text[begin:end]))
+    cut = [at for at in (begin, end) if 0 < at < len(text) and WORDS.fullmatch(text[at - 1 : at + 1])]
+    return max(0, n - len(cut))
+
+
+def without_repeats(
+    documents: DataFrame,
+    length: int = LENGTH,
+    anchor: int = ANCHOR,
+    over_words: int | None = None,
+) -> DataFrame:
     """`documents` with repeated strings taken out of text, n_chars to match.
 
     A character goes if one of its bytes does. Rows left without text go; rows
-    whose text was empty or NULL before stay.
+    whose text was empty or NULL before stay. With `over_words`, a run of removed
+    bytes that is shorter than LENGTH stays if it has no more whole words.
     """
-    plain, others = with_repeats(documents)
+    plain, others = with_repeats(documents, length, anchor)
 
     @F.pandas_udf("string")
     def strip(texts: pd.Series, found: pd.Series) -> pd.Series:
@@ -367,9 +396,14 @@ def without_repeats(documents: DataFrame) -> DataFrame:
         for text, spans in zip(texts, found):
             if text and spans is not None and len(spans):
                 raw = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
-                gone = removed_bytes(raw.size, spans)
+                gone = removed_bytes(raw.size, spans, length)
                 leads = raw & 0xC0 != 0x80
                 char = np.cumsum(leads) - 1
+                if over_words is not None:
+                    for a, b in zip(*stretches(gone)):
+                        within = words_within(text, int(char[a]), int(char[b]) + 1)
+                        if b - a + 1 < LENGTH and within <= over_words:
+                            gone[a : b + 1] = False
                 lost = np.zeros(int(char[-1]) + 1, dtype=bool)
                 lost[char[gone]] = True
                 text = raw[~lost[char]].tobytes().decode()
@@ -390,5 +424,5 @@ def without_repeats(documents: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline: repeated strings go from all texts, and texts of nothing else."""
-    return without_repeats(docs)
+    """Pipeline: repeated passages go from all texts, and texts of nothing else."""
+    return without_repeats(docs, PASSAGE_LENGTH, PASSAGE_ANCHOR, PASSAGE_WORDS)

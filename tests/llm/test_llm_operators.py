@@ -229,6 +229,33 @@ def test_without_repeats_keeps_characters_whole(spark, docs, rows):
     assert all(r["n_chars"] == len(r["text"]) for r in found if r["text"] and r["n_chars"] is not None)
 
 
+def test_stage_takes_out_a_passage_of_51_short_words(spark):
+    passage = " ".join("abcdefghij"[n % 10] + "klmno"[n // 11] * (n % 2) for n in range(51))
+    line = " ".join(f"w{n}" for n in range(49))  # fewer words: stays
+    one_word = "q" * 420
+    rows = []
+    for n in range(3):
+        own = [prose(200 + 10 * n + k, 60) for k in range(4)]
+        text = f"{own[0]} | {passage} | {own[1]} | {line} | {own[2]} | {one_word} | {own[3]}"
+        rows.append((n, text, "", "", len(text), 0))
+    assert len(passage) < 130
+    found = suffix_dedup.stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert len(found) == 3
+    for r in found:
+        assert passage not in r["text"] and "b" + "k" not in r["text"].split()
+        assert line in r["text"] and "qqq" not in r["text"]
+        assert all(prose(200 + 10 * r["doc_id"] + k, 60)[9:-9] in r["text"] for k in range(4))
+        assert r["n_chars"] == len(r["text"])
+
+
+@pytest.mark.parametrize("length, anchor", [(100, 32), (150, 96)])
+def test_remove_repeats_of_other_lengths(docs, rows, length, anchor):
+    _, flags = removed_by_force([r[1] for r in rows], length)
+    found = suffix_dedup.remove_repeats(docs, length, anchor)
+    expected = [(r[0], int(gone.sum())) for r, gone in zip(rows, flags)]
+    assert tuples(found, "doc_id", "n_removed") == sorted(expected, key=repr)
+
+
 # -- benchmark ------------------------------------------------------------------
 
 
