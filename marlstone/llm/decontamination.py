@@ -24,15 +24,20 @@ from pyspark.sql import functions as F
 from marlstone.llm.common import bits_for, bloom_words, mixed_pair, passes, stored, table
 from marlstone.llm.shingles import WordHashes, runs
 
-#: Places of a mask's words. Eight words each, within 11 to 13.
+#: Places of a mask's words. Of any words that `is_leak` accepts in an item of at
+#: least MASKS_FROM words, however many were replaced, the first two have a seed left.
 MASKS = [
-    (0, 1, 2, 4, 5, 7, 9, 10),
-    (0, 1, 3, 5, 6, 7, 10, 11),
-    (0, 2, 3, 4, 7, 8, 10, 12),
+    (0, 1, 3, 4, 5),
+    (0, 1, 5, 7, 8),
+    (0, 1, 2, 3),
+    (0, 1, 3, 4),
 ]
+MASKS_FROM = 7
+SHORT_MASKS = {5: (2,), 6: (3,)}
+"""Of items with fewer words than MASKS_FROM, by the number of words."""
 
 SPAN = 13
-"""Items with fewer words than this have one seed: all their words in a row."""
+"""More words than a mask spans; hits nearer than twice this are in one part."""
 
 LEAST_ITEM_WORDS = 5
 """Shorter items show no leak."""
@@ -54,12 +59,15 @@ FILTER_RATE = 1e-6
 FILTER_HASHES = 20
 
 
-def seeds(words: np.ndarray, short: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray]]:
-    """(mask, hashes by position). Masks after MASKS: runs of a short item's length."""
-    for n, mask in enumerate(MASKS):
-        yield n, runs(words, mask)
-    for length in short:
-        yield length + len(MASKS), runs(words, tuple(range(length)))
+def masks_of(n_words: int) -> tuple[int, ...]:
+    """Which of MASKS an item of so many words is searched by."""
+    return (0, 1) if n_words >= MASKS_FROM else SHORT_MASKS.get(n_words, ())
+
+
+def seeds(words: np.ndarray, masks: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray]]:
+    """(mask, hashes by position) for each of the numbers of MASKS in `masks`."""
+    for n in masks:
+        yield n, runs(words, MASKS[n])
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -84,10 +92,7 @@ def _item_seeds(items: DataFrame) -> DataFrame:
             rows = []
             for item, raw in zip(frame["item"], frame["words"]):
                 words = np.frombuffer(raw, dtype=np.uint64)
-                short = (words.size,) if words.size < SPAN else ()
-                for mask, found in seeds(words, short):
-                    if short and mask < len(MASKS):
-                        continue
+                for mask, found in seeds(words, masks_of(words.size)):
                     for at, h in enumerate(found.view("int64")):
                         rows.append((item, mask, h, at))
             yield pd.DataFrame(rows, columns=["item", "mask", "hash", "item_at"])
@@ -107,14 +112,8 @@ PART_SCHEMA = (
 
 def _parts(documents: DataFrame, seed_rows: DataFrame) -> DataFrame:
     """Parts of documents around seeds that pass the benchmark's filter."""
-    short = tuple(
-        sorted(
-            r["mask"] - len(MASKS)
-            for r in seed_rows.where(F.col("mask") >= len(MASKS))
-            .select("mask")
-            .distinct()
-            .collect()  # lengths under SPAN
-        )
+    used = tuple(
+        sorted(r["mask"] for r in seed_rows.select("mask").distinct().collect())
     )
     bits = bits_for(seed_rows.count(), FILTER_RATE)
 
@@ -134,7 +133,7 @@ def _parts(documents: DataFrame, seed_rows: DataFrame) -> DataFrame:
         words = np.concatenate(texts)
         ends = np.cumsum([t.size for t in texts])
         hits: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-        for mask, found in seeds(words, short):
+        for mask, found in seeds(words, used):
             width = words.size - found.size
             (at,) = np.nonzero(passes(filled, *mixed_pair(found), FILTER_HASHES))
             text = np.searchsorted(ends, at, side="right")

@@ -1,11 +1,13 @@
 """The methods below the operators, without Spark."""
 
+import itertools
 import random
 
 import numpy as np
 import pytest
 
 from marlstone.llm import (
+    decontamination,
     induced_sorting,
     language_id,
     near_duplicates,
@@ -180,6 +182,51 @@ def test_overlap_bears_replaced_words():
     assert overlap(left, right, 200) == (0, 0, 0)
 
 
+def accepted(equal):
+    """Whether copies of an item with these words left are leaks."""
+    item = np.arange(1, len(equal) + 1, dtype=np.uint64)
+    words = np.where(equal, item, item + np.uint64(1000))
+    start, end, matched = overlap(words, item, 0)
+    return decontamination.is_leak(matched, end - start, item.size)
+
+
+def has_seed(equal):
+    masks = [decontamination.MASKS[m] for m in decontamination.masks_of(len(equal))]
+    return any(
+        all(equal[at + x] for x in m) for m in masks for at in range(len(equal) - max(m))
+    )
+
+
+@pytest.mark.parametrize("n", range(5, 17))
+def test_every_accepted_pattern_of_replaced_words_has_a_seed(n):
+    found = 0
+    for replaced in range(n // 4 + 3):
+        for places in itertools.combinations(range(n), replaced):
+            equal = [i not in places for i in range(n)]
+            if accepted(equal):
+                found += 1
+                assert has_seed(equal), places
+    assert found
+
+
+def test_accepted_patterns_of_longer_items_have_seeds():
+    random_ = random.Random(6)
+    found = 0
+    for _ in range(20_000):
+        n = random_.randrange(17, 60)
+        equal = [True] * n
+        if random_.random() < 0.5:  # nearly every fourth word
+            for i in range(random_.randrange(4), n, 4):
+                equal[min(n - 1, max(0, i + random_.randrange(-1, 2)))] = False
+        else:
+            for i in random_.sample(range(n), n // 4):
+                equal[i] = False
+        if accepted(equal):
+            found += 1
+            assert has_seed(equal), equal
+    assert found > 1000
+
+
 def test_shingles():
     hashes = WordHashes()
     assert shingles(hashes.of(None), 5).size == shingles(hashes.of("..."), 5).size == 0

@@ -270,6 +270,17 @@ def test_leaks(spark, docs, rows):
     assert found == sorted(expected, key=repr)
 
 
+def test_leaks_of_short_items_with_replaced_words(spark):
+    short, long = prose(301, 9), prose(302, 13)
+    texts = [changed(short, 4), changed(long, 3, 8), changed(long, 2, 5, 9), changed(long, 2, 5, 8, 11)]
+    rows = [(n, f"{prose(310 + n, 30)} {t} {prose(320 + n, 30)}") for n, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, short), (2, long)], "item_id int, text string")
+    found = decontamination.leaks(docs, benchmark)
+    expected = [(0, "1", 30, 39, 8), (1, "2", 30, 43, 11), (2, "2", 30, 43, 10)]
+    assert tuples(found, "doc_id", "item_id", "start_word", "end_word", "matched") == expected
+
+
 # -- tokens ---------------------------------------------------------------------
 
 
