@@ -5,10 +5,9 @@ anything else. Each class has a signature: for every tree of the forest DEPTH
 MinHash values, a path in that tree's prefix trie. Classes with the same prefix in
 some tree are candidates.
 
-Prefixes start at full depth. How often pairs meet there, out of all trees, tells
-their similarity, and with it how many pairs of that similarity do not meet;
-prefixes are shortened to the largest depth whose expected recall reaches the
-target. Candidates are gathered to clusters, and all pairs of a cluster are
+Prefixes are shortened from full depth to the largest depth at which a pair at the
+threshold, the hardest to find, meets with the target recall. More similar pairs
+meet more often, so the target holds whatever else is in the corpus. Candidates are gathered to clusters, and all pairs of a cluster are
 verified exactly, in blocks of bounded size that give back counts for each class
 and never pairs.
 """
@@ -134,8 +133,19 @@ def _meetings(classes: DataFrame, depth: int) -> DataFrame:
     )
 
 
+def threshold_depth() -> int:
+    """The largest depth with the target recall for pairs at the threshold."""
+    least = THRESHOLD[0] / THRESHOLD[1]
+    for depth in range(DEPTH, 1, -1):
+        if recall(least, depth) >= TARGET_RECALL:
+            return depth
+    return 1
+
+
 def sufficient_depth(meetings_by_trees: dict[int, int]) -> int:
-    """The largest depth with the target recall, from pairs that meet at full depth.
+    """The largest depth with the target recall on average, from pairs that meet at
+    full depth. For looking at a corpus: many nearly equal pairs hide what is lost at
+    the threshold, so candidates are gathered at `threshold_depth`.
 
     A pair that meets in `trees` trees has a similarity of about
     (trees / TREES) ** (1 / DEPTH), and stands for 1 / recall pairs like it. Pairs
@@ -158,11 +168,7 @@ def sufficient_depth(meetings_by_trees: dict[int, int]) -> int:
 
 def candidate_clusters(classes: DataFrame) -> DataFrame:
     """(key, cluster) of classes that share a prefix with another, directly or not."""
-    meetings = stored(_meetings(classes, DEPTH), "forest_meetings")
-    by_trees = meetings.groupBy("trees").count().collect()  # TREES rows at most
-    depth = sufficient_depth({r["trees"]: r["count"] for r in by_trees})
-    if depth < DEPTH:
-        meetings = _meetings(classes, depth)
+    meetings = _meetings(classes, threshold_depth())
     found = components(meetings.select("a", "b"))
     return found.select(F.col("node").alias("key"), F.col("root").alias("cluster"))
 

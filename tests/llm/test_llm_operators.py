@@ -180,6 +180,30 @@ def test_blocks_of_a_large_cluster_give_the_same(spark, monkeypatch):
     )
 
 
+def test_nearly_equal_classes_do_not_hide_a_pair_at_the_threshold(spark):
+    trees, depth = near_duplicates.TREES, near_duplicates.DEPTH
+    random_ = np.random.default_rng(8)
+
+    def sig():
+        return random_.integers(0, 1 << 16, (trees, depth)).astype("<u2")
+
+    rows = []
+    for n in range(300):
+        one = sig()
+        other = one.copy()
+        other[:2, 0] += 1  # 18 of 20 trees
+        rows += [(f"a{n}", one), (f"b{n}", other)]
+    one, other = sig(), sig()
+    other[3, :5] = one[3, :5]
+    rows += [("x", one), ("y", other)]
+    assert near_duplicates.recall(0.8, 5) >= near_duplicates.TARGET_RECALL
+    classes = spark.createDataFrame(
+        [(k.encode(), s.tobytes()) for k, s in rows], "key binary, sig binary"
+    )
+    clusters = dict(tuples(near_duplicates.candidate_clusters(classes), "key", "cluster"))
+    assert len(clusters) == 602 and clusters[b"x"] == clusters[b"y"] == b"x"
+
+
 # -- repeated strings -----------------------------------------------------------
 
 
