@@ -12,6 +12,12 @@ of a fragment that occurs twice is repeated, and a window of a fragment whose an
 occurs nowhere else is not. Only fragments that share their anchor with a different
 fragment, those at the ends of repeated passages, have to be sorted, dealt to shards
 by anchor, each different fragment once.
+
+An anchor at the end of a passage that many texts share has as many different
+fragments. Such a group is divided before: a window has at least half of its other
+bytes before its anchor or behind it, so its windows are of two kinds, and those of a
+kind are equal only if the anchor extended on that side is. This is repeated with
+what still has to be sorted until each group is bounded.
 """
 
 from __future__ import annotations
@@ -42,6 +48,9 @@ PASSAGE_ANCHOR = 32
 SHARD_BYTES = 1_500_000
 """Fragments in a shard, on average."""
 
+GROUP_BYTES = 500_000
+"""Fragments of one anchor are divided if they have more."""
+
 FILTER_RATE = 0.01
 FILTER_HASHES = 7
 BLOCK_WINDOWS = 1 << 22
@@ -96,6 +105,11 @@ class Fragments:
             anchor = hashes[(least[first] & np.uint64(0xFFFFFF)).astype(np.int64)]
             yield first + begin, count, anchor
 
+    def place(self, raw: np.ndarray) -> int:
+        """Where the anchor of a fragment's content is."""
+        hashes = self._hashes(raw)[: self.length - self.anchor + 1]
+        return int(np.argmin(hashes & ~np.uint64(0xFFFFFF)))
+
 
 FRAGMENT_COLUMNS = ["anchor", "name"]
 """Hashes of the anchor and of the whole fragment, together 128 bits."""
@@ -210,16 +224,106 @@ def stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sort_shard(frame: pd.DataFrame, length: int) -> pd.DataFrame:
-    frame = frame.sort_values(FRAGMENT_COLUMNS, ignore_index=True)
+    frame = frame.sort_values([*FRAGMENT_COLUMNS, "first"], ignore_index=True)
     rows = []
-    names = zip(*(frame[c] for c in [*FRAGMENT_COLUMNS, "n"]))
-    for (anchor, name, n), flags in zip(names, repeated_in(list(frame["content"]), length)):
+    names = zip(*(frame[c] for c in [*FRAGMENT_COLUMNS, "n", "first"]))
+    for (anchor, name, n, first), flags in zip(
+        names, repeated_in(list(frame["content"]), length)
+    ):
         if n == 1:
             for a, b in zip(*stretches(flags)):
-                rows.append((anchor, name, a, b))
+                rows.append((anchor, name, first + a, first + b))
     return pd.DataFrame(rows, columns=[*FRAGMENT_COLUMNS, "begin", "end"])
 
 
+def _halves(pieces: DataFrame, length: int, anchor: int, core: int, step: int) -> DataFrame:
+    """`pieces` cut in two by the side of the core that has `step` bytes in each window.
+
+    key: hash of the core extended by them. piece: hash of all bytes. place: of the
+    core in the content, -1 before the first cut, when it is the anchor.
+    """
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cutter, digest = Fragments(length, anchor), xxhash.xxh3_64_intdigest
+        for frame in frames:
+            rows = []
+            columns = ["anchor", "name", "n", "first", "place", "content"]
+            for a, name, n, first, place, raw in zip(*(frame[c] for c in columns)):
+                if place < 0:
+                    place = cutter.place(np.frombuffer(raw, dtype=np.uint8))
+                windows = len(raw) - length + 1
+                m = min(windows, max(0, place - step + 1))
+                for begin, end, at in ((0, m, place - step), (m, windows, place - m)):
+                    if begin < end:
+                        own = raw[begin : end + length - 1]
+                        key = digest(own[at : at + core + step]) - (1 << 63)
+                        piece = digest(own) - (1 << 63)
+                        rows.append((a, name, n, first + begin, at, key, piece, own))
+            yield pd.DataFrame(
+                rows,
+                columns=["anchor", "name", "n", "first", "place", "key", "piece", "content"],
+            )
+
+    return pieces.mapInPandas(
+        cut,
+        "anchor long, name long, n long, first int, place int, key long, piece long,"
+        " content binary",
+    )
+
+
+def divided(
+    pieces: DataFrame, length: int, anchor: int
+) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Of groups that are too large: what is found by counting, and what is to be sorted.
+
+    Found are (anchor, name, begin, end) as in `_sort_shard`; to be sorted are frames
+    (anchor, name, n, first, key, content) of no more than GROUP_BYTES for each key.
+    """
+    found, bounded, core = [], [], anchor
+    pieces = pieces.withColumn("place", F.lit(-1))
+    while core < length:
+        step = -(-(length - core) // 2)
+        cut = stored(_halves(pieces, length, anchor, core, step), "suffix_halves")
+        core += step
+        each = stored(
+            cut.groupBy("key", "piece").agg(
+                F.sum("n").alias("total"),
+                F.max(F.length("content")).alias("size"),
+                F.min(F.struct("anchor", "name", "first")).alias("source"),
+            ),
+            "suffix_pieces",
+        )
+        ends = (F.col("first") + F.length("content") - length).alias("end")
+        found.append(
+            cut.where("n = 1")
+            .join(each.where("total > 1").select("key", "piece"), ["key", "piece"])
+            .select(*FRAGMENT_COLUMNS, F.col("first").alias("begin"), ends)
+        )
+        groups = stored(
+            each.groupBy("key")
+            .agg(
+                F.count("*").alias("variants"),
+                F.min("total").alias("least"),
+                F.sum("size").alias("bytes"),
+            )
+            .where("variants > 1 AND least = 1")
+            .select("key", "bytes"),
+            "suffix_groups",
+        )
+        small = each.join(groups.where(F.col("bytes") <= GROUP_BYTES), "key", "left_semi")
+        source = [F.col(f"source.{c}").alias(c) for c in ("anchor", "name", "first")]
+        # One of equal pieces is sorted; found are only those that have no equal.
+        bounded.append(
+            cut.join(small.select("key", "piece", "total", *source), ["key", "piece", "anchor", "name", "first"])
+            .select("anchor", "name", F.col("total").alias("n"), "first", "key", "content")
+        )
+        hot = groups.where(F.col("bytes") > GROUP_BYTES)
+        if hot.isEmpty():
+            break
+        pieces = cut.join(hot, "key", "left_semi").drop("key", "piece")
+    return found, bounded
+
+
 def repeats(
     documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR
 ) -> DataFrame:
@@ -241,19 +345,40 @@ def repeats(
         .select("anchor")
     )
     to_sort = stored(different.join(several, "anchor", "left_semi"), "suffix_to_sort")
-    total = to_sort.agg(F.sum(F.col("count") + length)).first()[0] or 0
-    shards = -(-total // SHARD_BYTES)
+    groups = to_sort.groupBy("anchor").agg(F.sum(F.col("count") + length).alias("bytes"))
+    hot = stored(groups.where(F.col("bytes") > GROUP_BYTES).select("anchor"), "suffix_hot")
     found = different.where("n > 1").select(
         *FRAGMENT_COLUMNS, F.lit(0).alias("begin"), (F.col("count") - 1).alias("end")
     )
-    if shards:
-        sorted_ = (
+    total = to_sort.agg(F.sum(F.col("count") + length)).first()[0] or 0
+    if total:
+        pieces = (
             to_sort.select(*FRAGMENT_COLUMNS, "n")
             .join(_contents(documents, to_sort, length, anchor), FRAGMENT_COLUMNS)
-            .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+            .select(
+                *FRAGMENT_COLUMNS,
+                "n",
+                F.lit(0).alias("first"),
+                F.col("anchor").alias("key"),
+                "content",
+            )
+        )
+        if not hot.isEmpty():
+            pieces = stored(pieces, "suffix_contents")
+            large = pieces.join(hot, "anchor", "left_semi").drop("key")
+            pieces = pieces.join(hot, "anchor", "left_anti")
+            counted, bounded = divided(large, length, anchor)
+            for frame in counted:
+                found = found.unionByName(frame)
+            for frame in bounded:
+                pieces = pieces.unionByName(frame)
+        shards = -(-total // SHARD_BYTES)
+        sorted_ = (
+            pieces.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
             .groupBy("shard")
             .applyInPandas(
-                lambda frame: _sort_shard(frame, length), "anchor long, name long, begin int, end int"
+                lambda frame: _sort_shard(frame, length),
+                "anchor long, name long, begin int, end int",
             )
         )
         found = found.unionByName(stored(sorted_, "suffix_sorted"))

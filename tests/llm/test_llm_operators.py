@@ -280,6 +280,33 @@ def test_remove_repeats_of_other_lengths(docs, rows, length, anchor):
     assert tuples(found, "doc_id", "n_removed") == sorted(expected, key=repr)
 
 
+def test_groups_of_a_hot_anchor_are_divided(spark, monkeypatch):
+    passage = prose(400, 120)
+    texts = [f"{prose(410 + n, 50 + n)} {passage} {prose(450 + n, 40)}" for n in range(24)]
+    texts += [f"{prose(480 + n, 60)} {passage[n:]}" for n in range(0, 60, 7)] + ["ha " * 700, "ha " * 501]
+    rows = [(n, t, "", "", 0, 0) for n, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 3000)
+    calls, divide = [], suffix_dedup.divided
+
+    def kept(*args):
+        calls.append(divide(*args))
+        return calls[-1]
+
+    monkeypatch.setattr(suffix_dedup, "divided", kept)
+    found = suffix_dedup.remove_repeats(docs)
+    _, flags = removed_by_force(texts)
+    expected = sorted(((n, int(g.sum())) for n, g in enumerate(flags)), key=repr)
+    assert tuples(found, "doc_id", "n_removed") == expected
+    (_, bounded), = calls
+    for frame in bounded:
+        sizes = collections.Counter()
+        for r in frame.collect():
+            sizes[r["key"]] += len(r["content"])
+        assert all(n <= 3000 for n in sizes.values())
+    assert len(bounded) > 1
+
+
 # -- benchmark ------------------------------------------------------------------
 
 
