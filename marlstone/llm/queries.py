@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from marlstone.llm import (
+    conversation_repair,
     decontamination,
     language_id,
     license_scan,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_license_scan": license_scan.op10_license_scan,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
 }
 
 

@@ -1,0 +1,175 @@
+"""Conversation repair against a search over all edits."""
+
+import hashlib
+import heapq
+import itertools
+import re
+import zlib
+
+import pytest
+
+from marlstone.llm import conversation_repair as C
+
+SCHEMA = "conv_id long, turn long, role string, text string, conv long, audit string"
+SPACES = re.compile(r"[^\x20\x09-\x0D]")
+
+
+def damaged(rows):
+    for conv, turn, role, text, *_ in rows:
+        say = lambda v: " " if v is None else str(v)
+        kind = zlib.crc32(f"{say(conv)}:{say(turn)}".encode()) % 20
+        role, text = say(role), say(text)
+        if kind == 0:
+            continue
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        for _ in range(2 if kind == 3 else 1):
+            yield conv, turn, "user" if kind == 4 else role, text
+
+
+def cheapest(roles, faults):
+    """Least (cost, audit) by a search over all edits, and the repaired roles."""
+    grammar = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    heap, done = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, at, state, made = heapq.heappop(heap)
+        if at == len(roles) and state in ("", "a"):
+            return cost, audit, made
+        if (at, state) in done:
+            continue
+        done.add((at, state))
+        push = lambda *x: heapq.heappush(heap, x)
+        for new in ("user", "assistant"):
+            if (state, new[0]) in grammar:
+                push(cost + 2, audit + "I", at, new[0], (*made, (new, None)))
+        if at == len(roles):
+            continue
+        push(cost + 3, audit + "D", at + 1, state, made)
+        if faults[at] in ("blank", "duplicate"):
+            continue
+        more = faults[at] == "truncated"
+        if roles[at] and (state, roles[at][0]) in grammar:
+            push(cost + more, audit + "K", at + 1, roles[at][0], (*made, (roles[at], at)))
+        for new in ("user", "assistant"):
+            if (state, new[0]) in grammar:
+                push(cost + 2 + more, audit + "R", at + 1, new[0], (*made, (new, at)))
+
+
+def faults_of(rows):
+    seen, out = set(), []
+    for _, _, role, text in rows:
+        solid = SPACES.findall(text)
+        out.append(
+            "blank" if not solid
+            else "duplicate" if (role, text) in seen
+            else "truncated" if solid[-1] not in ".!?"
+            else None
+        )
+        seen.add((role, text))
+    return out
+
+
+def expected(rows):
+    by = {}
+    for row in rows:
+        by.setdefault(row[0], [])
+    for row in damaged(rows):
+        by[row[0]].append(row)
+    for conv, own in by.items():
+        own.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        faults = faults_of(own)
+        turns = [r[1] for r in own if r[1] is not None]
+        cost, audit, made = cheapest([r[2] for r in own], faults)
+        text = "\n".join(f"{role}:{'' if at is None else own[at][3]}" for role, at in made)
+        yield (
+            conv,
+            max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+            *(faults.count(f) for f in ("blank", "duplicate", "truncated")),
+            sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(own)),
+            cost, audit, hashlib.sha256(text.encode()).hexdigest(),
+        )
+
+
+def run(spark, rows, tmp_path):
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    return [tuple(r) for r in C.op12_conversation_repair(spark, str(tmp_path)).collect()]
+
+
+def same(got, want):
+    key = lambda r: (r[0] is not None, r[0] or 0)
+    assert sorted(got, key=key) == sorted(want, key=key)
+
+
+ODD = [
+    (None, 1, "user", "Hi.", 1, None),
+    (None, None, None, None, 1, None),
+    (1, 1, "user", None, 1, "D"),
+    (2, None, "tool", "Found it.", 1, None),
+    (2, None, "user", "Well.", 1, None),
+    (3, 5, "", "No role.", 1, None),
+    (4, 1, "assistant", "Answer first", 1, None),
+    (5, 1, "user", "  .  \n", 1, None),
+    (5, 2, "user", "very " * 30_000 + "long.", 1, None),
+    (6, 1, "user", "Same.", 1, None),
+    (6, 1, "user", "Same.", 1, None),
+    (6, 9, "user", "Same.", 1, None),
+    (7, 1, "system", "Only rules.", 1, None),
+    (8, -4, "user", "Ünï ", 1, None),
+]
+
+
+def test_odd_rows(spark, tmp_path):
+    same(run(spark, ODD, tmp_path), expected(ODD))
+
+
+def test_no_rows(spark, tmp_path):
+    assert run(spark, [], tmp_path) == []
+
+
+def test_whole_table_as_registered(spark):
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.01"
+    rows = [tuple(r.values()) for r in pq.read_table(f"{sf}/conversations.parquet").to_pylist()]
+    got = [tuple(r) for r in C.op12_conversation_repair(spark, sf).collect()]
+    same(got, expected(rows))
+
+
+@pytest.mark.parametrize("length", range(6))
+def test_every_short_signature(length):
+    automaton, found = C.Automaton(), {}
+    symbols = "AOSUaosux"
+    for reading in sorted("".join(p) for p in itertools.product(symbols, repeat=length)):
+        found[reading[::-1]] = automaton.add(reading)
+    for signature, got in found.items() if length < 4 else list(found.items())[::97]:
+        roles = ["t" if s.lower() == "o" else s.lower() for s in signature]
+        faults = ["blank" if s == "x" else "truncated" if s.isupper() else None for s in signature]
+        assert got == cheapest(roles, faults)[:2], signature
+    # One state for each different rest of a signature.
+    assert automaton.states == sum(len(symbols) ** n for n in range(length + 1))
+
+
+def test_a_conversation_in_many_tasks(spark, monkeypatch):
+    rows = [(1, t, "user" if t % 3 else "assistant", f"Turn {t % 40}.", 0, None) for t in range(300)]
+    rows += [(c, 1, "user", "One.", 0, None) for c in range(2, 30)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        turns = spark.createDataFrame(rows, SCHEMA).repartition(5)
+        audited = C.audits(turns)
+        got = {r.conv_id: r for r in audited.collect()}
+        texts = C.repaired(turns, audited).where("conv_id = 1").orderBy("position").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    own = [r[:4] for r in rows if r[0] == 1]
+    cost, audit, made = cheapest([r[2] for r in own], faults_of(own))
+    assert (got[1].cost, got[1].audit) == (cost, audit)
+    assert got[1].illegal == sum(
+        a[2][0] + b[2][0] not in ("su", "ua", "au") for a, b in itertools.pairwise(own)
+    )
+    assert [(r.role, r.text) for r in texts] == [
+        (role, "" if at is None else own[at][3]) for role, at in made
+    ]

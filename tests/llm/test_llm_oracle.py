@@ -28,7 +28,6 @@ def test_query_equals_sql(spark, name):
 
 def test_registration():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {
-        x.split("_")[0] for x in names if x.startswith("op")
-    }
+    numbers = sorted(int(x[2:].split("_")[0]) for x in names if x.startswith("op"))
+    assert numbers == list(range(1, len(numbers) + 1))
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
