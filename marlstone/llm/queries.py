@@ -10,6 +10,7 @@ from marlstone.llm import (
     near_duplicates,
     packing,
     quality_rules,
+    spelling,
     suffix_dedup,
     token_counts,
     toxicity,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_license_scan": license_scan.op10_license_scan,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
 }
 
