@@ -10,6 +10,7 @@ from marlstone.llm import (
     near_duplicates,
     packing,
     quality_rules,
+    simhash,
     spelling,
     suffix_dedup,
     token_counts,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_license_scan": license_scan.op10_license_scan,
     "op11_spelling_variants": spelling.op11_spelling_variants,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
+    "op13_simhash_groups": simhash.op13_simhash_groups,
 }
 
 

@@ -1,0 +1,168 @@
+"""SimHash groups against comparing all fingerprints."""
+
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from marlstone.llm import simhash as S
+
+SCHEMA = "doc_id long, text string, fp long, part int, least long"
+
+
+def plain_fingerprint(text):
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not words:
+        return 0
+    runs = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(r.encode(), seed=42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def expected(rows):
+    signed = [(doc, plain_fingerprint(text)) for doc, text, *_ in rows]
+    root = reached({f for _, f in signed})
+    least = {}
+    for doc, f in signed:
+        if doc is not None:
+            least[root[f]] = min(least.get(root[f], doc), doc)
+    return [(doc, f"{f:016x}", least.get(root[f])) for doc, f in signed]
+
+
+def reached(values):
+    """The least fingerprint that links reach, by comparing each with all."""
+    values = np.array(sorted(values), dtype=np.uint64)
+    root = np.arange(values.size)
+    changed = True
+    while changed:
+        before = root.copy()
+        for i, v in enumerate(values):
+            near = np.bitwise_count(values ^ v) <= 2
+            root[near] = min(root[near].min(), root[i])
+        changed = (before != root).any()
+    return {int(v): int(r) for v, r in zip(values, root)}
+
+
+def prose(seed, n):
+    dice = np.random.default_rng(seed)
+    return " ".join("".join(dice.choice(list("abcdefgh"), 4)) for _ in range(n))
+
+
+LONG = prose(1, 400)
+ODD = [
+    (1, None), (2, ""), (3, " \n\t\x0b"), (4, "one"), (5, "ONE"), (6, "one two"),
+    (7, "One\ttwo"), (8, "Ünï code words"), (None, "alone here now"), (None, "one"),
+    (9, LONG), (9, LONG), (10, LONG + " x"), (11, LONG.upper()), (12, prose(2, 50)),
+    (13, "same same same " * 20_000),
+]
+
+
+def check(spark, rows, tmp_path):
+    full = [(*r, 1, 1, 1) for r in rows]
+    spark.createDataFrame(full, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    got = S.op13_simhash_groups(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(expected(rows), key=repr)
+
+
+def test_odd_rows(spark, tmp_path):
+    check(spark, ODD, tmp_path)
+
+
+def test_no_rows(spark, tmp_path):
+    check(spark, [], tmp_path)
+
+
+def test_whole_table_as_registered(spark):
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.01"
+    rows = [tuple(r.values()) for r in pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).to_pylist()]
+    got = S.op13_simhash_groups(spark, sf)
+    assert sorted(map(tuple, got.collect())) == sorted(expected(rows))
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    texts = [LONG, "a b", " ".join(["word"] * 50), "", "x " * 30]
+    whole = [S.fingerprint(t) & (1 << 64) - 1 for t in texts]
+    assert whole == [plain_fingerprint(t) for t in texts]
+    monkeypatch.setattr(S, "PIECE_BYTES", 5)
+    monkeypatch.setattr(S, "HELD", 3)
+    assert [S.fingerprint(t) & (1 << 64) - 1 for t in texts] == whole
+
+
+def clustered(seed, centres, each, flips):
+    """Random fingerprints, and groups that differ in a few bits of a skewed set."""
+    dice = np.random.default_rng(seed)
+    base = dice.integers(0, 1 << 63, centres, dtype=np.uint64)
+    out = set(base.tolist()) | {0, (1 << 64) - 1}
+    for b in base[: centres // 4].tolist():
+        for _ in range(each):
+            out.add(b ^ sum(1 << int(p) for p in dice.choice(24, dice.integers(1, flips), replace=False)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("parts, key_cost, bucket", [
+    (None, 200.0, 50_000), (2, 0.01, 50_000), (3, 0.0001, 20), (4, 200.0, 7), (6, 1.0, 50_000),
+])
+def test_groups_of_any_plan(spark, monkeypatch, parts, key_cost, bucket):
+    monkeypatch.setattr(S, "KEY_COST", key_cost)
+    values = clustered(5, 60, 20, 5)
+    signed = np.array(values, dtype=np.uint64).view(np.int64).tolist()
+    fps = spark.createDataFrame([(v,) for v in signed], "fp long").repartition(3)
+    plan = S.made_plan(fps, parts)
+    assert sorted(b for part in plan.parts for b in part) == list(range(64))
+    edges = [(r.a % (1 << 64), r.b % (1 << 64)) for r in S.links(fps, plan, bucket).collect()]
+    assert all(0 < (a ^ b).bit_count() <= 2 for a, b in edges)
+    found = {v: v for v in values}
+
+    def root(v):
+        while found[v] != v:
+            v = found[v]
+        return v
+
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        found[b] = a
+    want = reached(values)
+    index = sorted(values)
+    assert {v: root(v) for v in values} == {v: index[r] for v, r in want.items()}
+
+
+def test_every_choice_of_thresholds_is_enough(monkeypatch):
+    dice = np.random.default_rng(1)
+    values = dice.integers(0, 1 << 63, 500, dtype=np.uint64)
+    values[:100] &= np.uint64(0xFFFF)
+    parts = [list(range(0, 20)), list(range(20, 41)), list(range(41, 64))]
+
+    def near(bits):
+        share = np.bincount(S.taken(values, bits).astype(int), minlength=1 << len(bits)) / 500
+        return np.stack([share, share, share])
+
+    plan = S.Plan(500, parts, [[near(b) for b in S.blocks_of(p)] for p in parts])
+    for cost in (1e-6, 0.01, 1.0, 200.0):
+        monkeypatch.setattr(S, "KEY_COST", cost)
+        thresholds = plan.thresholds(values)
+        total = (thresholds + 1).sum(axis=0)
+        assert set(total.tolist()) <= {0, S.DISTANCE + 1}
+        costs = plan.costs(values)
+        for i in range(0, 500, 50):
+            options = [
+                sum(costs[p, k, i] for p, k in enumerate(ks))
+                for ks in np.ndindex(4, 4, 4) if sum(ks) == 3
+            ]
+            if total[i]:
+                own = sum(costs[p, thresholds[p, i] + 1, i] for p in range(3))
+                assert own == pytest.approx(min(options))
+
+
+def test_correlated_bits_share_a_part():
+    dice = np.random.default_rng(2)
+    bits = dice.integers(0, 2, (2_000, 64)).astype(float)
+    for a, b in ((0, 40), (40, 63), (7, 22)):
+        bits[:, b] = bits[:, a]
+    parts = S.grouped_bits(bits.T @ bits, 2_000, 4)
+    part = {b: i for i, own in enumerate(parts) for b in own}
+    assert part[0] == part[40] == part[63] and part[7] == part[22]
+    assert sorted(map(len, parts)) == [16] * 4
