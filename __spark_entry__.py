@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone import bindings as B
@@ -21,7 +21,7 @@ from marlstone.functions.json import json_scalar as scalar
 from marlstone.functions.time import utc_wall_clock
 from marlstone.functions.numeric import round_half_up
 from marlstone.operators.latest import latest_per_key as newest_row_per_key
-from marlstone.plans import checks, gold, jobs, serve, silver
+from marlstone.plans import checks, gold, incremental, jobs, serve, silver
 from marlstone.session import shared_dir
 from marlstone.sources import landing
 from marlstone.sources.tables import (
@@ -484,7 +484,79 @@ def refresh_all_historical_prices(spark, sf_dir):
 def refresh_all_market_summary(spark, sf_dir):
     wh = _landed_warehouse(spark, sf_dir, "refresh_all_market_summary")
     jobs.refresh_all(wh)
-    return wh.table(GOLD_LAYER, S.MART_MARKET_SUMMARY).drop("symbol")
+    return wh.table(GOLD_LAYER, S.MART_MARKET_SUMMARY)
+
+
+def one_generation(spark, sf_dir):
+    """Models of one generation joined, read through a snapshot after two refreshes."""
+    wh = _landed_warehouse(spark, sf_dir, "one_generation")
+    jobs.refresh_all(wh)
+    jobs.refresh_live(wh)
+    now = wh.snapshot()
+    markets = now.table(SILVER_LAYER, S.STG_MARKETS)
+    summary = now.table(GOLD_LAYER, S.MART_MARKET_SUMMARY)
+    return markets.select("coin_id", "symbol", "market_cap").join(
+        summary.select("symbol", "market_cap_billions"), "symbol"
+    ).withColumn("generation", F.lit(now.generation).cast("bigint"))
+
+
+def published_price_history(spark, sf_dir):
+    """One coin's days from the published mart, whose files are ranges of coins."""
+    wh = _landed_warehouse(spark, sf_dir, "published_price_history")
+    jobs.refresh_all(wh)
+    return wh.table(GOLD_LAYER, S.MART_PRICE_HISTORY).where(F.col("coin_id") == "7-0")
+
+
+def _append_in_three(wh: Warehouse, table: str, rows: DataFrame, part: Column) -> None:
+    """Rows appended by `part` (0, 1 or 2), with a refresh of what follows after each."""
+    for i in range(3):
+        wh.append(table, rows.where(part == i), backfill=True)
+        incremental.refresh_added(wh)
+
+
+def incremental_stg_markets(spark, sf_dir):
+    """Three appends, the newest days first and late ones last, a refresh after each."""
+    wh = _warehouse(spark, "incremental_stg_markets")
+    rows = B.with_day(_raw_markets(spark, sf_dir))
+    late = F.when(F.dayofmonth(S.PARTITION_COLUMN) > 20, 0).when(
+        F.dayofmonth(S.PARTITION_COLUMN) > 10, 1
+    )
+    _append_in_three(wh, S.RAW_MARKETS, rows, late.otherwise(2))
+    return wh.table(SILVER_LAYER, S.STG_MARKETS)
+
+
+def _kept_prices(spark, sf_dir, purpose: str) -> Warehouse:
+    """Price models kept up over three appends, of which two replace payloads.
+
+    All stale payloads come first, then the kept ones of two halves of the coins.
+    """
+    wh = _warehouse(spark, purpose)
+    rows = B.with_day(B.raw_historical_prices(_events(spark, sf_dir)))
+    kept = F.col("ingested_at") == B.LOADED_AT
+    half = F.pmod(F.xxhash64("coin_id"), F.lit(2)).cast("int")
+    part = F.when(kept, 1 + half).otherwise(0)
+    _append_in_three(wh, S.RAW_HISTORICAL_PRICES, rows, part)
+    return wh
+
+
+def incremental_price_history(spark, sf_dir):
+    wh = _kept_prices(spark, sf_dir, "incremental_price_history")
+    return wh.table(GOLD_LAYER, S.MART_PRICE_HISTORY)
+
+
+def incremental_historical_prices(spark, sf_dir):
+    wh = _kept_prices(spark, sf_dir, "incremental_historical_prices")
+    points = wh.table(SILVER_LAYER, S.STG_HISTORICAL_PRICES)
+    return points.withColumn("price_timestamp", utc_wall_clock(F.col("price_timestamp")))
+
+
+def merged_price_history(spark, sf_dir):
+    """Daily figures per user, merged from the kept parts of the user's payloads."""
+    wh = _kept_prices(spark, sf_dir, "merged_price_history")
+    table = incremental.keyed(wh, incremental.PRICES, GOLD_LAYER, S.MART_PRICE_HISTORY)
+    parts = table.rows().withColumn("coin_id", F.substring_index("coin_id", "-", 1))
+    shown = wh.table(GOLD_LAYER, S.MART_PRICE_HISTORY).columns
+    return gold.history_figures(gold.merged_parts(parts)).select(*shown)
 
 
 def stream_ingest(spark, sf_dir):
@@ -515,6 +587,19 @@ def stream_live_refresh(spark, sf_dir):
     return wh.table(GOLD_LAYER, S.MART_MARKET_SUMMARY)
 
 
+def stream_two_restarts(spark, sf_dir):
+    """Three appends taken up by a stream that is restarted twice, late files last."""
+    wh = _warehouse(spark, "stream_two_restarts")
+    rows = B.with_day(_raw_markets(spark, sf_dir))
+    day = F.dayofmonth(S.PARTITION_COLUMN)
+    for part in (day.between(11, 20), day > 20, day <= 10):
+        wh.append(S.RAW_MARKETS, rows.where(part), backfill=True)
+        start_live_refresh(
+            wh, stream_bronze(spark, wh, S.RAW_MARKETS), f"{wh.root}/checkpoint"
+        ).awaitTermination()
+    return wh.table(SILVER_LAYER, S.STG_MARKETS)
+
+
 def stream_stg_markets(spark, sf_dir):
     """The live staging table after one run over the whole bronze table."""
     wh = _warehouse(spark, "stream_stg_markets")
@@ -585,6 +670,13 @@ def library_queries() -> dict[str, Query]:
             stream_ingest,
             stream_live_refresh,
             stream_stg_markets,
+            stream_two_restarts,
+            one_generation,
+            published_price_history,
+            incremental_stg_markets,
+            incremental_price_history,
+            incremental_historical_prices,
+            merged_price_history,
         )
     }
 
@@ -673,6 +765,20 @@ _CHUNKS = f"""
                CAST(event_id // {B.POINTS_PER_PAYLOAD} AS VARCHAR) AS coin_id
         FROM events"""
 
+_POINTS = f"""
+        SELECT CAST(user_id AS VARCHAR) || '-' ||
+               CAST(event_id // {B.POINTS_PER_PAYLOAD} AS VARCHAR) AS coin_id,
+               date_trunc('milliseconds', ts) AS price_timestamp,
+               value AS price_usd, '{B.LOADED_AT}' AS ingested_at
+        FROM events"""
+
+_CHUNK_HISTORY = _history(_POINTS)
+
+_USER_HISTORY = _history(
+    "SELECT CAST(user_id AS VARCHAR) AS coin_id, "
+    "ts AS price_timestamp, value AS price_usd FROM events"
+)
+
 _LIVE = """
         SELECT lower(event_type) AS symbol, ts AS time, value AS live_price
         FROM events"""
@@ -769,12 +875,7 @@ def oracle_sql() -> dict[str, str]:
                    CAST(NULL AS BIGINT) AS twitter_followers,
                    '{B.LOADED_AT}' AS ingested_at
             FROM part""",
-        "stg_historical_prices": f"""
-            SELECT CAST(user_id AS VARCHAR) || '-' ||
-                   CAST(event_id // {B.POINTS_PER_PAYLOAD} AS VARCHAR) AS coin_id,
-                   date_trunc('milliseconds', ts) AS price_timestamp,
-                   value AS price_usd, '{B.LOADED_AT}' AS ingested_at
-            FROM events""",
+        "stg_historical_prices": _POINTS,
         "refresh_all_coin_details": f"""
             SELECT CAST(p_partkey AS VARCHAR) AS coin_id, lower(p_brand) AS symbol,
                    p_name AS name, p_type AS hashing_algorithm,
@@ -786,18 +887,23 @@ def oracle_sql() -> dict[str, str]:
                    CAST(NULL AS BIGINT) AS twitter_followers,
                    '{B.LOADED_AT}' AS ingested_at
             FROM part""",
-        "refresh_all_historical_prices": f"""
-            SELECT CAST(user_id AS VARCHAR) || '-' ||
-                   CAST(event_id // {B.POINTS_PER_PAYLOAD} AS VARCHAR) AS coin_id,
-                   date_trunc('milliseconds', ts) AS price_timestamp,
-                   value AS price_usd, '{B.LOADED_AT}' AS ingested_at
-            FROM events""",
-        "refresh_all_market_summary": f"SELECT * EXCLUDE (symbol) FROM ({_SUMMARY})",
+        "refresh_all_historical_prices": _POINTS,
+        "refresh_all_market_summary": f"""
+            SELECT * EXCLUDE (coin_id) REPLACE ('u' || coin_id AS symbol)
+            FROM ({_summary(_stg_markets(), "coin_id,")})""",
+        "one_generation": f"""
+            SELECT 'u' || coin_id AS symbol, coin_id, market_cap,
+                   round(market_cap / 1e9, 2) AS market_cap_billions,
+                   CAST(2 AS BIGINT) AS generation
+            FROM ({_stg_markets()})""",
+        "published_price_history": f"SELECT * FROM ({_CHUNK_HISTORY}) WHERE coin_id = '7-0'",
+        "incremental_stg_markets": _stg_markets(),
+        "incremental_price_history": _CHUNK_HISTORY,
+        "incremental_historical_prices": _POINTS,
+        "merged_price_history": _USER_HISTORY,
+        "stream_two_restarts": _stg_markets(),
         "market_summary": _SUMMARY,
-        "price_history": _history(
-            "SELECT CAST(user_id AS VARCHAR) AS coin_id, "
-            "ts AS price_timestamp, value AS price_usd FROM events"
-        ),
+        "price_history": _USER_HISTORY,
         "price_history_lineitem": _history(
             "SELECT CAST(l_partkey AS VARCHAR) AS coin_id, "
             "l_shipdate AS price_timestamp, l_extendedprice AS price_usd FROM lineitem"

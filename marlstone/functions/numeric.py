@@ -38,16 +38,28 @@ def stable_avg(value: Column, strict: bool = True) -> Column:
     infinities and values or sums from 1e28 on fail; when not strict such values
     count as NULL and such sums are NULL.
     """
-    if strict:
-        # A cast to decimal makes them NULL without a word.
-        odd = F.isnan(value) | (F.abs(value) == float("inf"))
-        message = F.lit("an average of values that are no finite numbers")
-        exact = F.when(odd, F.raise_error(message)).otherwise(value.cast(_SUMMED_AS))
-        total = F.sum(exact)
-    else:
-        exact = value.try_cast(_SUMMED_AS)
-        total = F.try_sum(exact)
-    return total.cast("double") / F.nullif(F.count(exact), F.lit(0))
+    total, n = exact_sum(value, strict), F.count(exact_term(value, strict))
+    return avg_of(total, n)
+
+
+def exact_term(value: Column, strict: bool = True) -> Column:
+    """A double as the decimal that sums add."""
+    if not strict:
+        return value.try_cast(_SUMMED_AS)
+    # A cast to decimal makes them NULL without a word.
+    odd = F.isnan(value) | (F.abs(value) == float("inf"))
+    message = F.lit("an average of values that are no finite numbers")
+    return F.when(odd, F.raise_error(message)).otherwise(value.cast(_SUMMED_AS))
+
+
+def exact_sum(value: Column, strict: bool = True) -> Column:
+    term = exact_term(value, strict)
+    return F.sum(term) if strict else F.try_sum(term)
+
+
+def avg_of(total: Column, n: Column) -> Column:
+    """Average from an exact sum and a count."""
+    return total.cast("double") / F.nullif(n, F.lit(0))
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

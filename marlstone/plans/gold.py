@@ -4,7 +4,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions.numeric import (
+    avg_of,
     billions,
+    exact_sum,
+    exact_term,
     round_half_up,
     safe_ratio,
     stable_avg,
@@ -80,6 +83,59 @@ def price_history(
     return history.orderBy("coin_id", F.asc_nulls_last("price_date"), "ingested_at")
 
 
+HISTORY_KEYS = ["coin_id", "price_date", "ingested_at"]
+
+
+def history_parts(stg_historical_prices: DataFrame, strict: bool = True) -> DataFrame:
+    """Partial figures per coin, UTC day and payload that can be merged with others.
+
+    Extremes, an exact decimal sum, and counts of prices and points: whichever way
+    the points of a group are divided, merging the parts gives the same.
+    """
+    price = F.col("price_usd")
+    return stg_historical_prices.groupBy(
+        "coin_id",
+        utc_date(F.col("price_timestamp")).alias("price_date"),
+        "ingested_at",
+    ).agg(
+        F.min(price).alias("_low"),
+        F.max(price).alias("_high"),
+        exact_sum(price, strict).alias("_sum"),
+        F.count(exact_term(price, strict)).alias("_prices"),
+        F.count(F.lit(1)).alias("_points"),
+    )
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """One row per coin, day and payload from parts of any number of groups."""
+    return parts.groupBy(*HISTORY_KEYS).agg(
+        F.min("_low").alias("_low"),
+        F.max("_high").alias("_high"),
+        F.sum("_sum").alias("_sum"),
+        F.sum("_prices").alias("_prices"),
+        F.sum("_points").alias("_points"),
+    )
+
+
+def history_figures(parts: DataFrame) -> DataFrame:
+    """The price history's columns of merged parts, beside the parts themselves."""
+    return parts.select(
+        "coin_id",
+        "price_date",
+        round_half_up(F.col("_low"), 2).alias("low_price"),
+        round_half_up(F.col("_high"), 2).alias("high_price"),
+        round_half_up(avg_of(F.col("_sum"), F.col("_prices")), 2).alias("avg_price"),
+        round_half_up(F.col("_high") - F.col("_low"), 2).alias("price_range"),
+        F.col("_points").alias("data_points"),
+        "ingested_at",
+        "_low",
+        "_high",
+        "_sum",
+        "_prices",
+        "_points",
+    )
+
+
 def watchlist_enriched(
     user_watchlists: DataFrame,
     user_profiles: DataFrame,

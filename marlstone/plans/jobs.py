@@ -1,9 +1,5 @@
-"""Refresh jobs: rebuild models in dependency order and publish them."""
+"""Refresh jobs: rebuild models in dependency order and commit them together."""
 
-from concurrent.futures import ThreadPoolExecutor
-from functools import partial
-
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,34 +9,64 @@ from marlstone.sources.tables import (
     BRONZE_LAYER,
     GOLD_LAYER,
     SILVER_LAYER,
+    Version,
     Warehouse,
 )
 
 _SILVER = [
-    (S.STG_MARKETS, S.RAW_MARKETS, silver.stg_markets),
-    (S.STG_COIN_DETAILS, S.RAW_COIN_DETAILS, silver.stg_coin_details),
-    (
-        S.STG_HISTORICAL_PRICES,
-        S.RAW_HISTORICAL_PRICES,
-        # A published table has no row order; queries that show it sort it.
-        partial(silver.stg_historical_prices, ordered=False),
-    ),
+    (S.STG_MARKETS, S.RAW_MARKETS, silver.stg_markets, ["coin_id"]),
+    (S.STG_COIN_DETAILS, S.RAW_COIN_DETAILS, silver.stg_coin_details, ["coin_id"]),
+    # Its ranges are made of packed documents, before their points are unnested.
+    (S.STG_HISTORICAL_PRICES, S.RAW_HISTORICAL_PRICES, silver.stg_historical_prices, None),
 ]
 
+# What the files of the marts are ranges of.
+_SUMMARY_BY = ["market_cap_rank", "symbol"]
+_HISTORY_BY = ["coin_id", "price_date"]
+_WATCHED_BY = ["user_id", "coin_id"]
 
-def refresh_silver(wh: Warehouse, strict: bool = True) -> None:
-    """Rebuild the three staging tables; they are independent, so Spark gets
-    all three jobs at once and one's tail does not leave the cluster idle."""
+
+def _write_silver(wh: Warehouse, strict: bool) -> list[Version]:
+    """The three staging tables; they are independent, so Spark gets all three
+    jobs at once and one's tail does not leave the cluster idle."""
+    wh.create_layers()
 
     def rebuild(model):
-        table, source, build = model
+        table, source, build, cluster_by = model
         rows = build(wh.table(BRONZE_LAYER, source), strict=strict)
-        wh.publish(SILVER_LAYER, table, rows)
+        return wh.write(SILVER_LAYER, table, rows, cluster_by)
+
+    return wh.at_once(rebuild, _SILVER)
+
+
+def _write_summary(wh: Warehouse, markets: DataFrame) -> Version:
+    rows = gold.market_summary(markets, ordered=False)
+    return wh.write(GOLD_LAYER, S.MART_MARKET_SUMMARY, rows, _SUMMARY_BY)
+
+
+def _write_gold(
+    wh: Warehouse,
+    markets: DataFrame,
+    prices: DataFrame,
+    user_watchlists: DataFrame | None,
+    user_profiles: DataFrame | None,
+    watch_on: str,
+) -> list[Version]:
+    written = [_write_summary(wh, markets)]
+    history = gold.price_history(prices, ordered=False)
+    written.append(wh.write(GOLD_LAYER, S.MART_PRICE_HISTORY, history, _HISTORY_BY))
+    if user_watchlists is None or user_profiles is None:
+        return written
+    summary = wh.read(written[0])
+    if watch_on == "coin_id":
+        summary = gold.market_summary(markets, with_coin_id=True, ordered=False)
+    watched = gold.watchlist_enriched(user_watchlists, user_profiles, summary, watch_on)
+    return [*written, wh.write(GOLD_LAYER, S.MART_WATCHLIST_ENRICHED, watched, _WATCHED_BY)]
 
-    with ThreadPoolExecutor(max_workers=len(_SILVER)) as pool:
-        task = inheritable_thread_target(wh.spark)(rebuild)
-        for done in [pool.submit(task, model) for model in _SILVER]:
-            done.result()
+
+def refresh_silver(wh: Warehouse, strict: bool = True) -> None:
+    """Rebuild the three staging tables and commit them together."""
+    wh.commit(_write_silver(wh, strict))
 
 
 def refresh_gold(
@@ -49,36 +75,24 @@ def refresh_gold(
     user_profiles: DataFrame | None = None,
     watch_on: str = "symbol",
 ) -> None:
-    """Rebuild the marts; the watchlist mart only where its tables are given.
+    """Rebuild the marts from one generation of the staging tables; the watchlist
+    mart only where its tables are given.
 
     `watch_on="coin_id"` matches watchlists by the coin's id instead.
     """
-    markets = wh.table(SILVER_LAYER, S.STG_MARKETS)
-    prices = wh.table(SILVER_LAYER, S.STG_HISTORICAL_PRICES)
-    summary = wh.publish(
-        GOLD_LAYER, S.MART_MARKET_SUMMARY, gold.market_summary(markets, ordered=False)
-    )
-    wh.publish(
-        GOLD_LAYER, S.MART_PRICE_HISTORY, gold.price_history(prices, ordered=False)
-    )
-    if user_watchlists is None or user_profiles is None:
-        return
-    if watch_on == "coin_id":
-        summary = gold.market_summary(markets, with_coin_id=True, ordered=False)
-    wh.publish(
-        GOLD_LAYER,
-        S.MART_WATCHLIST_ENRICHED,
-        gold.watchlist_enriched(user_watchlists, user_profiles, summary, watch_on),
-    )
+    now = wh.snapshot()
+    markets = now.table(SILVER_LAYER, S.STG_MARKETS)
+    prices = now.table(SILVER_LAYER, S.STG_HISTORICAL_PRICES)
+    wh.commit(_write_gold(wh, markets, prices, user_watchlists, user_profiles, watch_on))
 
 
 def refresh_live(wh: Warehouse, strict: bool = True) -> DataFrame:
     """Rebuild only the market tables, the ones a live view needs."""
     raw = wh.table(BRONZE_LAYER, S.RAW_MARKETS)
-    markets = wh.publish(SILVER_LAYER, S.STG_MARKETS, silver.stg_markets(raw, strict))
-    return wh.publish(
-        GOLD_LAYER, S.MART_MARKET_SUMMARY, gold.market_summary(markets, ordered=False)
-    )
+    rows = silver.stg_markets(raw, strict)
+    markets = wh.write(SILVER_LAYER, S.STG_MARKETS, rows, ["coin_id"])
+    wh.commit([markets, _write_summary(wh, wh.read(markets))])
+    return wh.table(GOLD_LAYER, S.MART_MARKET_SUMMARY)
 
 
 def refresh_all(
@@ -87,9 +101,12 @@ def refresh_all(
     user_profiles: DataFrame | None = None,
     watch_on: str = "symbol",
     strict: bool = True,
-) -> None:
-    refresh_silver(wh, strict)
-    refresh_gold(wh, user_watchlists, user_profiles, watch_on)
+) -> int:
+    """Rebuild all models; readers see them as one generation, whose number it returns."""
+    staged = _write_silver(wh, strict)
+    markets, prices = wh.read(staged[0]), wh.read(staged[2])
+    marts = _write_gold(wh, markets, prices, user_watchlists, user_profiles, watch_on)
+    return wh.commit(staged + marts)
 
 
 def newest_live_prices(

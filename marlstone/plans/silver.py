@@ -138,10 +138,8 @@ def stg_markets(
     return market_columns(newest_documents(raw_markets, strict, skip_days), strict)
 
 
-def stg_coin_details(
-    raw_coin_details: DataFrame, strict: bool = True, skip_days: bool = False
-) -> DataFrame:
-    documents = newest_documents(raw_coin_details, strict, skip_days)
+def coin_detail_columns(documents: DataFrame, strict: bool = True) -> DataFrame:
+    """Typed columns of coin detail documents, one row in, one row out."""
     fields = with_scalars(_parsed(documents, strict), "doc", COIN_DETAIL_PATHS)
     return fields.select(
         "coin_id",
@@ -159,6 +157,13 @@ def stg_coin_details(
     )
 
 
+def stg_coin_details(
+    raw_coin_details: DataFrame, strict: bool = True, skip_days: bool = False
+) -> DataFrame:
+    documents = newest_documents(raw_coin_details, strict, skip_days)
+    return coin_detail_columns(documents, strict)
+
+
 def stg_historical_prices(
     raw_historical_prices: DataFrame,
     strict: bool = True,
@@ -174,22 +179,26 @@ def stg_historical_prices(
     newest = newest_documents(raw_historical_prices, strict, skip_days)
     if ordered:
         newest = newest.repartitionByRange("coin_id")
-    doc = _parsed(newest, strict)
-    unnested = doc.select(
+    points = price_points(newest, strict)
+    if not ordered:
+        return points
+    return points.sortWithinPartitions("coin_id", F.asc_nulls_last("price_timestamp"))
+
+
+def price_points(documents: DataFrame, strict: bool = True) -> DataFrame:
+    """One row per price point of historical price documents."""
+    unnested = _parsed(documents, strict).select(
         "coin_id",
         "ingested_at",
         F.explode(json_pairs("doc", "$.prices", strict)).alias("point"),
     )
     at = F.element_at if strict else F.try_element_at
-    points = unnested.select(
+    return unnested.select(
         "coin_id",
         epoch_millis(at("point", F.lit(1))).alias("price_timestamp"),
         at("point", F.lit(2)).alias("price_usd"),
         "ingested_at",
     )
-    if not ordered:
-        return points
-    return points.sortWithinPartitions("coin_id", F.asc_nulls_last("price_timestamp"))
 
 
 def _parsed(documents: DataFrame, strict: bool) -> DataFrame:

@@ -2,14 +2,25 @@
 
 A table is `<layer>.<table>`, stored under `<root>/<layer>/`. Bronze tables are
 append-only Parquet, partitioned by ingestion day. A model is published by
-writing it whole as a new versioned table and then replacing the view that
-carries the model's name: readers see the old rows or the new ones, never a
-half-written mix, and a query that already runs keeps its version.
+writing it as a new versioned table and then replacing the view that carries the
+model's name: readers see the old rows or the new ones, never a half-written mix,
+and a query that already runs keeps its version.
+
+Several models are committed as one generation: all versions are written first.
+The view `generation` in the gold layer then names them, and is the one place that
+readers of more than one model have to look at (`Warehouse.snapshot`); the views of
+the models follow it.
 """
 
 import datetime as dt
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +33,32 @@ SILVER_LAYER = "silver"
 GOLD_LAYER = "gold"
 LAYERS = [BRONZE_LAYER, SILVER_LAYER, GOLD_LAYER]
 
+# The view that names a generation's versions.
+GENERATION = "generation"
+
+
+@dataclass(frozen=True)
+class Version:
+    """A written version of a model, and the columns that readers of the model see."""
+
+    layer: str
+    table: str
+    name: str
+    columns: tuple[str, ...]
+
+
+class Snapshot:
+    """The versions of one generation; whatever is committed later, these stay."""
+
+    def __init__(self, spark: SparkSession, generation: int, versions: list[Version]):
+        self.spark = spark
+        self.generation = generation
+        self.versions = {(v.layer, v.table): v for v in versions}
+
+    def table(self, layer: str, table: str) -> DataFrame:
+        version = self.versions[layer, table]
+        return self.spark.table(version.name).select(*version.columns)
+
 
 class Warehouse:
     """Bronze, silver and gold under one root folder.
@@ -41,6 +78,8 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.schemas = {layer: layer for layer in LAYERS} | (schemas or {})
         self.keep_versions = keep_versions
+        self.properties: dict[str, dict[str, str]] = {}
+        self._committing = threading.RLock()
 
     # -- names ---------------------------------------------------------------
 
@@ -140,25 +179,127 @@ class Warehouse:
 
     # -- models --------------------------------------------------------------
 
-    def publish(self, layer: str, table: str, rows: DataFrame) -> DataFrame:
+    def at_once(self, work: Callable, items: list) -> list:
+        """`work` of each item in a thread of its own: Spark gets all their jobs at once."""
+        if len(items) < 2:
+            return [work(item) for item in items]
+        task = inheritable_thread_target(self.spark)(work)
+        with ThreadPoolExecutor(max_workers=len(items)) as pool:
+            return list(pool.map(task, items))
+
+    def publish(
+        self, layer: str, table: str, rows: DataFrame, cluster_by: list[str] | None = None
+    ) -> DataFrame:
         """Replace a model's rows and return the published table."""
+        self.commit([self.write(layer, table, rows, cluster_by)])
+        return self.table(layer, table)
+
+    def write(
+        self, layer: str, table: str, rows: DataFrame, cluster_by: list[str] | None = None
+    ) -> Version:
+        """Write a new version of a model, which no reader sees before it is committed.
+
+        `cluster_by` puts the rows into ranges of these columns, in files of a size
+        that Spark chooses from the data, each sorted: a filter on the first column
+        then skips most files by their statistics, and what is read in order needs no
+        wide sort. A value with very many rows is divided by the further columns.
+        """
         self.create_layers()
-        stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
-        version = f"{self.name(layer, table)}__v{stamp}_{uuid.uuid4().hex[:8]}"
+        version = self.new_name(layer, table, "v")
+        if cluster_by:
+            rows = rows.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
         rows.write.format("parquet").mode("errorifexists").saveAsTable(version)
+        return Version(layer, table, version, tuple(rows.columns))
+
+    def read(self, version: Version) -> DataFrame:
+        return self.spark.table(version.name).select(*version.columns)
+
+    @contextmanager
+    def scratch(self) -> Iterator[Callable[[DataFrame], DataFrame]]:
+        """A function that stores rows so that they are made once; they go at the end."""
+        self.create_layers()
+        names = []
+
+        def keep(rows: DataFrame) -> DataFrame:
+            name = self.new_name(SILVER_LAYER, "scratch", "s")
+            rows.write.format("parquet").saveAsTable(name)
+            names.append(name)
+            return self.spark.table(name)
+
+        try:
+            yield keep
+        finally:
+            for name in names:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def new_name(self, layer: str, table: str, kind: str) -> str:
+        """A name for a version that sorts behind all earlier ones."""
+        stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+        return f"{self.name(layer, table)}__{kind}{stamp}_{uuid.uuid4().hex[:8]}"
+
+    def commit(self, versions: list[Version]) -> int:
+        """Make the written versions the current ones, as a new generation.
+
+        One statement replaces the list of versions; from then on `snapshot` returns
+        the new ones, all of them. Commits of one Warehouse wait for each other; jobs
+        that write the same models from several drivers have to be kept apart.
+        """
+        if not versions:
+            return self.snapshot().generation
+        with self._committing:
+            before = self.snapshot()
+            now = before.versions | {(v.layer, v.table): v for v in versions}
+            generation = before.generation + 1
+            self._name_generation(generation, list(now.values()))
+            for v in versions:
+                columns = ", ".join(f"`{c}`" for c in v.columns)
+                self.spark.sql(
+                    f"CREATE OR REPLACE VIEW {self.name(v.layer, v.table)} "
+                    f"AS SELECT {columns} FROM {v.name}"
+                )
+            for v in versions:
+                self._drop_old_versions(v.layer, v.table)
+        return generation
+
+    def snapshot(self) -> Snapshot:
+        """All models as of the newest generation; 0 before the first commit."""
+        name = self.name(GOLD_LAYER, GENERATION)
+        if not self.spark.catalog.tableExists(name):
+            return Snapshot(self.spark, 0, [])
+        rows = self.spark.table(name).collect()
+        return Snapshot(
+            self.spark,
+            rows[0].generation,
+            [Version(r.layer, r.model, r.version, tuple(r.columns)) for r in rows],
+        )
+
+    def current(self, layer: str, table: str) -> Version | None:
+        return self.snapshot().versions.get((layer, table))
+
+    def _name_generation(self, generation: int, versions: list[Version]) -> None:
+        def text(value: str) -> str:
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+        rows = ", ".join(
+            f"({generation}L, {text(v.layer)}, {text(v.table)}, {text(v.name)}, "
+            f"array({', '.join(map(text, v.columns))}))"
+            for v in versions
+        )
+        self.create_layers()
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name(layer, table)} "
-            f"AS SELECT * FROM {version}"
+            f"CREATE OR REPLACE VIEW {self.name(GOLD_LAYER, GENERATION)} AS "
+            f"SELECT * FROM VALUES {rows} AS t(generation, layer, model, version, columns)"
         )
-        self._drop_old_versions(layer, table)
-        return self.table(layer, table)
 
-    def versions(self, layer: str, table: str) -> list[str]:
+    def versions(self, layer: str, table: str, kind: str = "v") -> list[str]:
         """Names of a model's kept versions, oldest first."""
         schema = self.schemas[layer]
-        found = self.spark.sql(f"SHOW TABLES IN {schema} LIKE '{table}__v*'")
+        found = self.spark.sql(f"SHOW TABLES IN {schema} LIKE '{table}__{kind}*'")
         return sorted(f"{schema}.{row.tableName}" for row in found.collect())
 
     def _drop_old_versions(self, layer: str, table: str) -> None:
+        """Keep the newest versions, and whatever the newest generation names."""
+        named = {v.name for v in self.snapshot().versions.values()}
         for version in self.versions(layer, table)[: -self.keep_versions]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {version}")
+            if version not in named:
+                self.spark.sql(f"DROP TABLE IF EXISTS {version}")

@@ -6,8 +6,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marlstone import schemas as S
 from marlstone.functions.json import is_malformed
-from marlstone.plans import gold, silver
-from marlstone.sources.tables import BRONZE_LAYER, GOLD_LAYER, SILVER_LAYER, Warehouse
+from marlstone.plans import incremental
+from marlstone.sources.keyed import BUCKETS
+from marlstone.sources.tables import BRONZE_LAYER, SILVER_LAYER, Warehouse
 
 
 def stream_bronze(
@@ -22,7 +23,7 @@ def stream_bronze(
 
 
 def newest_documents(rows: DataFrame) -> DataFrame:
-    """Running newest document per coin.
+    """Running newest document per coin; a trigger emits the coins it has rows of.
 
     The greatest (ingestion time, update time, payload) wins, which is the
     order the batch model ranks by, so a late file with an older ingestion time
@@ -42,25 +43,36 @@ def start_live_refresh(
     checkpoint: str,
     every: str | None = None,
     strict: bool = True,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Keep the two live tables equal to the batch models over all rows so far.
 
-    Each trigger reads only new files; what it rewrites is one row per coin.
+    A trigger reads the new files only and emits the coins in them. Those whose
+    newest document is another one than before replace their rows, in the buckets of
+    these coins; other buckets are neither read nor written, and where no coin
+    changed nothing is committed. A trigger that is run again after a failure finds
+    its documents published and does nothing. Tables that a batch job has published
+    whole are first taken over as they are in bronze, so that no reader loses coins.
     """
 
-    def publish(newest: DataFrame, _: int) -> None:
-        # The summary is built from the published table: a second action on
-        # `newest` would run the batch's stateful stage again.
-        markets = wh.publish(
-            SILVER_LAYER, S.STG_MARKETS, silver.market_columns(newest, strict)
-        )
-        wh.publish(GOLD_LAYER, S.MART_MARKET_SUMMARY, gold.market_summary(markets))
+    def publish(emitted: DataFrame, _: int) -> None:
+        kept = incremental.MARKETS
+        if wh.current(SILVER_LAYER, kept.documents) is not None:
+            state = incremental.keyed(wh, kept, SILVER_LAYER, kept.documents)
+            if state.version() is None:
+                wh.commit(incremental.added_versions(wh, kept, strict, buckets))
+        with wh.scratch() as keep:
+            # Stored first: each action on it would run the stateful stage again.
+            docs = keep(emitted)
+            versions = incremental.merge_documents(wh, kept, docs, strict, None, buckets)
+        wh.commit(versions)
+        incremental.clean(wh, versions)
 
     if not strict:
         rows = rows.where(~is_malformed("payload"))
     return (
         newest_documents(rows)
-        .writeStream.outputMode("complete")
+        .writeStream.outputMode("update")
         .foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(**({"processingTime": every} if every else {"availableNow": True}))

@@ -20,8 +20,8 @@ def main(sf_dir: str, only: list[str]) -> int:
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, failed = connect(sf_dir), entry.oracle_sql(), 0
-    for name, query in entry.library_queries().items():
-        if only and name not in only:
+    for name, query in entry.queries().items():
+        if name not in (only or entry.library_queries()):
             continue
         started = time.time()
         try:

@@ -21,6 +21,8 @@ STAMP = B.LOADED_AT
 EAGER = {
     "landing_markets", "bronze_append", "bronze_append_once", "refresh_live",
     "refresh_all", "live_prices_newest_days", "stream_ingest", "stream_live_refresh", "stream_stg_markets",
+    "stream_two_restarts", "one_generation", "published_price_history", "incremental_stg_markets",
+    "incremental_price_history", "incremental_historical_prices", "merged_price_history",
 }
 
 
