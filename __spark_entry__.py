@@ -21,7 +21,7 @@ from marlstone.functions.json import json_scalar as scalar
 from marlstone.functions.time import utc_wall_clock
 from marlstone.functions.numeric import round_half_up
 from marlstone.operators.latest import latest_per_key as newest_row_per_key
-from marlstone.plans import checks, gold, incremental, jobs, serve, silver
+from marlstone.plans import checks, gold, incremental, jobs, serve, silver, symbols
 from marlstone.session import shared_dir
 from marlstone.sources import landing
 from marlstone.sources.tables import (
@@ -410,6 +410,30 @@ def live_prices_newest_days(spark, sf_dir):
     return live.withColumn("time", utc_wall_clock(F.col("time")))
 
 
+def live_prices_by_coin(spark, sf_dir):
+    """A symbol's series through the table of symbols, of which later files are not in."""
+    wh = _warehouse(spark, "live_prices_by_coin")
+    rows = B.with_day(_raw_markets_by_user(spark, sf_dir))
+    day = F.dayofmonth(S.PARTITION_COLUMN)
+    for part in (day.between(5, 20), day > 25):
+        wh.append(S.RAW_MARKETS, rows.where(part), backfill=True)
+        symbols.refresh_symbols(wh)
+    wh.append(S.RAW_MARKETS, rows.where((day < 5) | day.between(21, 25)), backfill=True)
+    live = jobs.newest_live_prices(wh, "U7")
+    return live.withColumn("time", utc_wall_clock(F.col("time")))
+
+
+def coin_symbols(spark, sf_dir):
+    """The table of symbols after two appends."""
+    wh = _warehouse(spark, "coin_symbols")
+    rows = B.with_day(_raw_markets(spark, sf_dir))
+    day = F.dayofmonth(S.PARTITION_COLUMN)
+    for part in (day > 10, day <= 10):
+        wh.append(S.RAW_MARKETS, rows.where(part), backfill=True)
+        symbols.refresh_symbols(wh)
+    return wh.table(SILVER_LAYER, symbols.COIN_SYMBOLS)
+
+
 def price_direction(spark, sf_dir):
     live = serve.live_prices_by_symbol(_raw_markets(spark, sf_dir))
     return serve.price_direction(live, ["symbol"])
@@ -677,6 +701,8 @@ def library_queries() -> dict[str, Query]:
             incremental_price_history,
             incremental_historical_prices,
             merged_price_history,
+            live_prices_by_coin,
+            coin_symbols,
         )
     }
 
@@ -922,6 +948,13 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_summary(_stg_markets("user_id = 7"), "coin_id,")})""",
         "live_prices": _NEWEST_LIVE,
         "live_prices_newest_days": _NEWEST_LIVE,
+        "live_prices_by_coin": f"""
+            SELECT ts AS time, value AS live_price FROM events WHERE user_id = 7
+            ORDER BY ts DESC LIMIT {serve.LIVE_POINTS}""",
+        "coin_symbols": """
+            SELECT DISTINCT lower(event_type) AS symbol,
+                   CAST(user_id AS VARCHAR) AS coin_id
+            FROM events""",
         "live_prices_since": f"""
             SELECT time, live_price FROM ({_LIVE})
             WHERE symbol = 'error' AND time >= TIMESTAMP '2024-01-30'

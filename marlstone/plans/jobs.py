@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone import schemas as S
-from marlstone.plans import gold, serve, silver
+from marlstone.plans import gold, serve, silver, symbols
 from marlstone.sources.tables import (
     BRONZE_LAYER,
     GOLD_LAYER,
@@ -118,8 +118,10 @@ def newest_live_prices(
     symbol seen in each batch needs one day's files instead of the whole table;
     one that is rare or gone widens the range fourfold at a time, and each step
     reads the added days only. The rows found, n at most, are kept by the driver.
+    Where the table of symbols is kept (`symbols.refresh_symbols`), rows of other
+    coins are skipped by the files' statistics and Bloom filters.
     """
-    raw = wh.table(BRONZE_LAYER, S.RAW_MARKETS)
+    raw, _ = symbols.rows_of_symbol(wh, symbol)
     days, found, done, width = wh.days(S.RAW_MARKETS), [], 0, 1
     schema = serve.live_prices(raw, symbol, n).schema
     while done < len(days) and len(found) < n:

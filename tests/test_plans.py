@@ -23,6 +23,7 @@ EAGER = {
     "refresh_all", "live_prices_newest_days", "stream_ingest", "stream_live_refresh", "stream_stg_markets",
     "stream_two_restarts", "one_generation", "published_price_history", "incremental_stg_markets",
     "incremental_price_history", "incremental_historical_prices", "merged_price_history",
+    "live_prices_by_coin", "coin_symbols",
 }
 
 
