@@ -18,7 +18,7 @@ from marlstone import schemas as S
 from marlstone.functions import sql as sql_functions
 from marlstone.functions.json import as_bigint, as_double, json_pairs, parse_payload
 from marlstone.functions.json import json_scalar as scalar
-from marlstone.functions.time import utc_wall_clock
+from marlstone.functions.time import CANONICAL_UTC, from_iso, utc_wall_clock
 from marlstone.functions.numeric import round_half_up
 from marlstone.operators.latest import latest_per_key as newest_row_per_key
 from marlstone.plans import checks, gold, incremental, jobs, serve, silver, symbols
@@ -236,6 +236,38 @@ def bronze_append_once(spark, sf_dir):
     )
 
 
+def bronze_append_batch(spark, sf_dir):
+    """Two batches by name; a half-written and doubled attempt is replaced by its retry."""
+    wh = _warehouse(spark, "bronze_append_batch")
+    rows = B.with_day(_raw_markets(spark, sf_dir))
+    first = F.col("coin_id").cast("bigint") % 3 == 0
+    wh.append_batch(S.RAW_MARKETS, rows.where(first), "a", backfill=True)
+    half = rows.where(~first & (F.dayofmonth(S.PARTITION_COLUMN) <= 12))
+    wh.append_batch(S.RAW_MARKETS, half.unionAll(half), "b", backfill=True)
+    wh.append_batch(S.RAW_MARKETS, rows.where(~first), "b", backfill=True)
+    held = wh.table(BRONZE_LAYER, S.RAW_MARKETS)
+    return held.groupBy("coin_id", S.BATCH_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def landing_by_arrival(spark, sf_dir):
+    """Landed responses whose arrival is the ingestion time of their records."""
+    folder = shared_dir(spark, "landing_by_arrival")
+    B.market_responses(_events(spark, sf_dir)).write.text(folder)
+    landed = landing.read_responses(spark, folder, whole_files=False)
+    rows = landing.envelope(landing.market_records(landed))
+    written = spark.read.text(folder).select(
+        F.col("_metadata.file_modification_time").alias("at")
+    )
+    first, last = written.agg(F.min("at"), F.max("at")).first()
+    stamped = from_iso(F.col("ingested_at")).between(F.lit(first), F.lit(last))
+    same_day = F.col(S.PARTITION_COLUMN) == F.substring("ingested_at", 1, 10).cast("date")
+    return rows.select(
+        "coin_id",
+        F.col("ingested_at").rlike(CANONICAL_UTC).alias("canonical"),
+        (stamped & same_day).alias("stamped_by_arrival"),
+    )
+
+
 def bronze_fields(spark, sf_dir):
     return serve.bronze_fields(_raw_markets(spark, sf_dir))
 
@@ -456,6 +488,27 @@ def snapshot_as_of(spark, sf_dir):
     return silver.stg_markets(checks.as_of(_raw_markets(spark, sf_dir), AS_OF))
 
 
+def replay_by_arrival(spark, sf_dir):
+    """Staging rows as of one moment, by ingestion and by arrival, with a late batch."""
+    wh = _warehouse(spark, "replay_by_arrival")
+    rows = B.with_day(_raw_markets(spark, sf_dir))
+    doc_id = as_bigint(scalar("doc", "$.market_cap_rank"))
+    read = rows.withColumn("doc", parse_payload("payload"))
+    late = doc_id % 7 == 0
+    early = F.dayofmonth(S.PARTITION_COLUMN) <= 10
+    for name, part, day in (
+        ("1", early & ~late, 11), ("2", early & late, 20), ("3", ~early, 31)
+    ):
+        at = dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc)
+        wh.append_batch(S.RAW_MARKETS, read.where(part).drop("doc"), name, at, backfill=True)
+    held = wh.table(BRONZE_LAYER, S.RAW_MARKETS)
+    found = [
+        silver.stg_markets(checks.as_of(held, AS_OF, by)).withColumn("axis", F.lit(by))
+        for by in ("ingested_at", S.ARRIVED_AT)
+    ]
+    return found[0].unionByName(found[1])
+
+
 def quality_report(spark, sf_dir):
     return checks.quality_report(
         stg_markets(spark, sf_dir),
@@ -703,6 +756,9 @@ def library_queries() -> dict[str, Query]:
             merged_price_history,
             live_prices_by_coin,
             coin_symbols,
+            bronze_append_batch,
+            landing_by_arrival,
+            replay_by_arrival,
         )
     }
 
@@ -872,6 +928,21 @@ def oracle_sql() -> dict[str, str]:
         "bronze_append_once": """
             SELECT CAST(user_id AS VARCHAR) AS coin_id, count(*) AS n_rows
             FROM events GROUP BY user_id""",
+        "bronze_append_batch": """
+            SELECT CAST(user_id AS VARCHAR) AS coin_id,
+                   CASE WHEN user_id % 3 = 0 THEN 'a' ELSE 'b' END AS batch_id,
+                   count(*) AS n_rows
+            FROM events GROUP BY ALL""",
+        "landing_by_arrival": """
+            SELECT CAST(user_id AS VARCHAR) AS coin_id, true AS canonical,
+                   true AS stamped_by_arrival
+            FROM events""",
+        "replay_by_arrival": f"""
+            SELECT *, 'ingested_at' AS axis
+            FROM ({_stg_markets("ts <= TIMESTAMP '2024-01-15'")})
+            UNION ALL
+            SELECT *, 'arrived_at'
+            FROM ({_stg_markets("day(ts) <= 10 AND event_id % 7 <> 0")})""",
         "bronze_fields": """
             SELECT CAST(user_id AS VARCHAR) AS coin_id, event_type AS name,
                    value AS price

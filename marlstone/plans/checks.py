@@ -63,14 +63,19 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
-def as_of(raw: DataFrame, moment: dt.datetime) -> DataFrame:
+def as_of(raw: DataFrame, moment: dt.datetime, by: str = "ingested_at") -> DataFrame:
     """The bronze rows that were there at a moment. Bronze is append-only, so
-    running a model over them gives the model's result as of then."""
+    running a model over them gives the model's result as of then.
+
+    Rows count from their ingestion time on. A batch that was appended late then
+    appears in replays of moments before it arrived; with `by="arrived_at"`, on a
+    table kept by batch, rows count from their arrival on, as readers have seen them.
+    """
     if moment.utcoffset() is None:
         raise ValueError("the moment needs an offset, e.g. +00:00")
     utc = moment.astimezone(dt.timezone.utc)
     text = utc.strftime("%Y-%m-%dT%H:%M:%S.%f") + UTC_SUFFIX
-    kept = raw.where(F.col("ingested_at") <= F.lit(text))
-    if PARTITION_COLUMN in raw.columns:
+    kept = raw.where(F.col(by) <= F.lit(text))
+    if by == "ingested_at" and PARTITION_COLUMN in raw.columns:
         kept = kept.where(F.col(PARTITION_COLUMN) <= F.lit(utc.date()))
     return kept

@@ -19,6 +19,19 @@ BRONZE = T.StructType(
     ENVELOPE.fields + [T.StructField(PARTITION_COLUMN, T.DateType(), False)]
 )
 
+# In a table kept by batch a row also carries when its batch was appended, and the
+# batch is a partition of its day.
+ARRIVED_AT = "arrived_at"
+BATCH_COLUMN = "batch_id"
+BATCHED = T.StructType(
+    ENVELOPE.fields
+    + [
+        T.StructField(ARRIVED_AT, T.StringType(), False),
+        T.StructField(PARTITION_COLUMN, T.DateType(), False),
+        T.StructField(BATCH_COLUMN, T.StringType(), False),
+    ]
+)
+
 REQUIRED = [f.name for f in ENVELOPE.fields if not f.nullable]
 
 # Table names per layer.

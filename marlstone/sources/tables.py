@@ -21,11 +21,11 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.functions.time import iso_date
-from marlstone.schemas import BRONZE, PARTITION_COLUMN
+from marlstone.functions.time import UTC_SUFFIX, iso_date
+from marlstone.schemas import ARRIVED_AT, BATCH_COLUMN, BATCHED, BRONZE, PARTITION_COLUMN
 
 # The layers.
 BRONZE_LAYER = "bronze"
@@ -34,16 +34,23 @@ GOLD_LAYER = "gold"
 LAYERS = [BRONZE_LAYER, SILVER_LAYER, GOLD_LAYER]
 
 # Bronze files have a Bloom filter of the coins in each row group: a batch has rows of
-# most coins, so that the least and greatest one of a row group tell little.
-_BLOOM = (
-    "'parquet.bloom.filter.enabled#coin_id' = 'true', "
-    "'parquet.bloom.filter.expected.ndv#coin_id' = '20000'"
-)
+# most coins, so that the least and greatest one of a row group tell little. Where a
+# coin is in a file, its rows stand together, and small pages keep the others unread.
+_BY_COIN = {
+    "parquet.bloom.filter.enabled#coin_id": "true",
+    "parquet.bloom.filter.expected.ndv#coin_id": "20000",
+    "parquet.page.row.count.limit": "500",
+}
 
 # The view that names a generation's versions.
 GENERATION = "generation"
 
 
+def _text(value: str) -> str:
+    """As an SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Version:
     """A written version of a model, and the columns that readers of the model see."""
@@ -110,9 +117,11 @@ class Warehouse:
 
     # -- bronze --------------------------------------------------------------
 
-    def create_bronze(self, table: str) -> None:
+    def create_bronze(self, table: str, by_batch: bool = False) -> None:
         """Create the table if it is missing; an existing one is left alone.
 
+        One kept `by_batch` has a partition for each batch of a day, see `append_batch`.
+
         The table is external, as bronze is the record everything else is
         rebuilt from: dropping it keeps the files, and creating it over files
         that are already there, under a new catalog say, takes them in.
@@ -121,13 +130,16 @@ class Warehouse:
         if self.exists(BRONZE_LAYER, table):
             return
         name, path = self.name(BRONZE_LAYER, table), f"{self.path(BRONZE_LAYER)}/{table}"
+        schema = BATCHED if by_batch else BRONZE
+        parts = [PARTITION_COLUMN, BATCH_COLUMN] if by_batch else [PARTITION_COLUMN]
         # Appending no rows makes sure that the folder exists.
-        empty = self.spark.createDataFrame([], BRONZE)
-        empty.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in BRONZE)
+        empty = self.spark.createDataFrame([], schema)
+        empty.write.mode("append").partitionBy(*parts).parquet(path)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+        options = ", ".join(f"'{k}' = '{v}'" for k, v in _BY_COIN.items())
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-            f"OPTIONS ({_BLOOM}) PARTITIONED BY ({PARTITION_COLUMN}) LOCATION '{path}'"
+            f"OPTIONS ({options}) PARTITIONED BY ({', '.join(parts)}) LOCATION '{path}'"
         )
         self.spark.catalog.recoverPartitions(name)
 
@@ -178,10 +190,54 @@ class Warehouse:
         fresh = batch.select("*", row).join(known, identity, "left_anti")
         self.append(table, fresh, backfill)
 
+    def append_batch(
+        self,
+        table: str,
+        batch: DataFrame,
+        batch_id: str,
+        arrived_at: dt.datetime | None = None,
+        backfill: bool = False,
+    ) -> None:
+        """Append a batch under its name to a table kept by batch.
+
+        A retry under the same name replaces what an attempt before it has left,
+        whether whole, half-written or doubled, and reads nothing of the table: the
+        partitions of its days and name are overwritten as one commit. The same batch
+        has the same days, as these follow from its rows. Each row gets the time at
+        which the batch was appended (now, unless given), beside that of its ingestion.
+        """
+        self.create_bronze(table, by_batch=True)
+        arrived = (arrived_at or dt.datetime.now(dt.timezone.utc)).astimezone(dt.timezone.utc)
+        text = arrived.strftime("%Y-%m-%dT%H:%M:%S.%f") + UTC_SUFFIX
+        rows = (
+            batch.withColumn(ARRIVED_AT, F.lit(text))
+            .withColumn(BATCH_COLUMN, F.lit(batch_id))
+            .select(*BATCHED.names)
+        )
+        if backfill:
+            rows = rows.hint("rebalance", F.col(PARTITION_COLUMN))
+        name = self.name(BRONZE_LAYER, table)
+        written = Observation()
+        (
+            rows.observe(written, F.collect_set(PARTITION_COLUMN).alias("days"))
+            .sortWithinPartitions(PARTITION_COLUMN, "coin_id", "ingested_at")
+            .write.mode("overwrite")
+            .options(partitionOverwriteMode="dynamic", **_BY_COIN)
+            .partitionBy(PARTITION_COLUMN, BATCH_COLUMN)
+            .parquet(f"{self.path(BRONZE_LAYER)}/{table}")
+        )
+        # The catalog gets to know partitions that are new; a batch has few days.
+        for day in written.get["days"]:
+            self.spark.sql(
+                f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION "
+                f"({PARTITION_COLUMN}=DATE'{day}', {BATCH_COLUMN}={_text(batch_id)})"
+            )
+        self.spark.catalog.refreshTable(name)
+
     def days(self, table: str) -> list[dt.date]:
         """Days a bronze table holds, newest first, from the catalog alone."""
         found = self.spark.sql(f"SHOW PARTITIONS {self.name(BRONZE_LAYER, table)}")
-        texts = [row.partition.split("=", 1)[1] for row in found.collect()]
+        texts = {row.partition.split("/")[0].split("=", 1)[1] for row in found.collect()}
         return sorted(map(dt.date.fromisoformat, texts), reverse=True)
 
     # -- models --------------------------------------------------------------
@@ -284,12 +340,9 @@ class Warehouse:
         return self.snapshot().versions.get((layer, table))
 
     def _name_generation(self, generation: int, versions: list[Version]) -> None:
-        def text(value: str) -> str:
-            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
         rows = ", ".join(
-            f"({generation}L, {text(v.layer)}, {text(v.table)}, {text(v.name)}, "
-            f"array({', '.join(map(text, v.columns))}))"
+            f"({generation}L, {_text(v.layer)}, {_text(v.table)}, {_text(v.name)}, "
+            f"array({', '.join(map(_text, v.columns))}))"
             for v in versions
         )
         self.create_layers()

@@ -19,6 +19,7 @@ def start_ingest(
     on_rejected: Callable[[DataFrame], None] | None = None,
     parse: Callable[[DataFrame], DataFrame] | None = None,
     on_rejected_responses: Callable[[DataFrame], None] | None = None,
+    batches: str | None = None,
 ) -> StreamingQuery:
     """Append a stream of records to a bronze table.
 
@@ -34,9 +35,14 @@ def start_ingest(
     that `rejected_records` finds, and the good ones are appended. A lenient
     `parse` leaves out whole responses; `on_rejected_responses` receives those.
     The batch is read once and kept while it is looked at and appended.
+
+    `batches` names the stream, for a table kept by batch: a trigger's rows are the
+    batch of that name and the trigger's number, so that a replay overwrites its
+    own partitions and nothing held has to be read. A stream that starts again
+    without its checkpoint counts from zero and needs another name.
     """
 
-    def append(batch: DataFrame, _: int) -> None:
+    def append(batch: DataFrame, number: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if on_rejected_responses is not None:
@@ -44,11 +50,15 @@ def start_ingest(
             found = batch if parse is None else parse(batch)
             if on_rejected is not None:
                 on_rejected(found)
-            wh.append_once(table, envelope(found, strict=on_rejected is None))
+            rows = envelope(found, strict=on_rejected is None)
+            if batches is None:
+                wh.append_once(table, rows)
+            else:
+                wh.append_batch(table, rows, f"{batches}-{number:09}")
         finally:
             batch.unpersist()
 
-    wh.create_bronze(table)
+    wh.create_bronze(table, by_batch=batches is not None)
     return (
         records.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)

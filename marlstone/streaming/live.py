@@ -15,8 +15,9 @@ def stream_bronze(
     spark: SparkSession, wh: Warehouse, table: str, max_files: int = 10_000
 ) -> DataFrame:
     """A bronze table's files as a stream, those already there first."""
+    columns = wh.table(BRONZE_LAYER, table).columns
     return (
-        spark.readStream.schema(S.BRONZE)
+        spark.readStream.schema(S.BATCHED if S.BATCH_COLUMN in columns else S.BRONZE)
         .option("maxFilesPerTrigger", max_files)
         .parquet(f"{wh.path(BRONZE_LAYER)}/{table}")
     )

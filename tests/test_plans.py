@@ -24,6 +24,7 @@ EAGER = {
     "stream_two_restarts", "one_generation", "published_price_history", "incremental_stg_markets",
     "incremental_price_history", "incremental_historical_prices", "merged_price_history",
     "live_prices_by_coin", "coin_symbols",
+    "bronze_append_batch", "landing_by_arrival", "replay_by_arrival",
 }
 
 
