@@ -517,6 +517,18 @@ def quality_report(spark, sf_dir):
     )
 
 
+def quality_of_write(spark, sf_dir):
+    """The report that a job gets of a staging table while it writes it."""
+    wh = _warehouse(spark, "quality_of_write")
+    _, report = checks.write_checked(
+        wh, SILVER_LAYER, S.STG_MARKETS, stg_markets(spark, sf_dir),
+        required=["coin_id", "symbol", "current_price"],
+        unique=["coin_id", "symbol"],
+        cluster_by=["coin_id"],
+    )
+    return report
+
+
 def table_row_counts(spark, sf_dir):
     return checks.row_counts(
         {
@@ -759,6 +771,7 @@ def library_queries() -> dict[str, Query]:
             bronze_append_batch,
             landing_by_arrival,
             replay_by_arrival,
+            quality_of_write,
         )
     }
 
@@ -861,6 +874,19 @@ _USER_HISTORY = _history(
     "ts AS price_timestamp, value AS price_usd FROM events"
 )
 
+_QUALITY = f"""
+            WITH m AS (SELECT count(*) AS n_rows, count(symbol) AS n_symbols,
+                              count(current_price) AS n_prices,
+                              count(DISTINCT coin_id) AS d_coins,
+                              count(DISTINCT symbol) AS d_symbols
+                       FROM ({_stg_markets()}))
+            SELECT 'row_count' AS check_name, n_rows, CAST(0 AS BIGINT) AS n_failed FROM m
+            UNION ALL SELECT 'not_null:coin_id', n_rows, CAST(0 AS BIGINT) FROM m
+            UNION ALL SELECT 'not_null:symbol', n_rows, n_rows - n_symbols FROM m
+            UNION ALL SELECT 'not_null:current_price', n_rows, n_rows - n_prices FROM m
+            UNION ALL SELECT 'unique:coin_id', n_rows, n_rows - d_coins FROM m
+            UNION ALL SELECT 'unique:symbol', n_rows, n_symbols - d_symbols FROM m"""
+
 _LIVE = """
         SELECT lower(event_type) AS symbol, ts AS time, value AS live_price
         FROM events"""
@@ -1048,18 +1074,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM ({_stg_markets()})
             ORDER BY market_cap DESC NULLS LAST, coin_id LIMIT 10""",
         "snapshot_as_of": _stg_markets("ts <= TIMESTAMP '2024-01-15'"),
-        "quality_report": f"""
-            WITH m AS (SELECT count(*) AS n_rows, count(symbol) AS n_symbols,
-                              count(current_price) AS n_prices,
-                              count(DISTINCT coin_id) AS d_coins,
-                              count(DISTINCT symbol) AS d_symbols
-                       FROM ({_stg_markets()}))
-            SELECT 'row_count' AS check_name, n_rows, CAST(0 AS BIGINT) AS n_failed FROM m
-            UNION ALL SELECT 'not_null:coin_id', n_rows, CAST(0 AS BIGINT) FROM m
-            UNION ALL SELECT 'not_null:symbol', n_rows, n_rows - n_symbols FROM m
-            UNION ALL SELECT 'not_null:current_price', n_rows, n_rows - n_prices FROM m
-            UNION ALL SELECT 'unique:coin_id', n_rows, n_rows - d_coins FROM m
-            UNION ALL SELECT 'unique:symbol', n_rows, n_symbols - d_symbols FROM m""",
+        "quality_report": _QUALITY,
+        "quality_of_write": _QUALITY,
         "table_row_counts": """
             SELECT 'raw_markets' AS table_name, count(*) AS row_count FROM events
             UNION ALL

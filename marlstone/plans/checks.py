@@ -3,11 +3,13 @@
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marlstone.functions.time import UTC_SUFFIX
 from marlstone.schemas import PARTITION_COLUMN
+from marlstone.sources.tables import Version, Warehouse
 
 
 def quality_report(
@@ -15,33 +17,111 @@ def quality_report(
 ) -> DataFrame:
     """Row count, NULLs per required column and duplicates per unique column.
 
-    One aggregate pass. Columns: check_name, n_rows (rows looked at) and
+    One pass over the rows. Columns: check_name, n_rows (rows looked at) and
     n_failed (NULLs found, or rows beyond the first of each value).
+
+    A row gives its pattern of NULLs and the value of each unique column, each as one
+    narrow row that is counted before the shuffle: a pattern or value that very many
+    rows have is sent once by a task.
     """
     unique = unique or []
-    counts = [F.count(F.lit(1)).alias("_rows")]
-    counts += [F.count(c).alias(f"_filled_{c}") for c in {*required, *unique}]
-    counts += [F.countDistinct(c).alias(f"_distinct_{c}") for c in unique]
-
-    checks = [("row_count", F.lit(0).cast("bigint"))]
-    checks += [
-        (f"not_null:{c}", F.col("_rows") - F.col(f"_filled_{c}")) for c in required
+    looked_at = list(dict.fromkeys([*required, *unique]))
+    pattern = F.concat(
+        F.lit(""), *[F.when(F.col(c).isNull(), "1").otherwise("0") for c in looked_at]
+    )
+    seen = [F.struct(F.lit(-1).alias("place"), pattern.alias("value"))]
+    seen += [
+        F.struct(F.lit(i).alias("place"), _as_text(df, c).alias("value"))
+        for i, c in enumerate(unique)
     ]
-    checks += [
-        (f"unique:{c}", F.col(f"_filled_{c}") - F.col(f"_distinct_{c}"))
-        for c in unique
+    counted = (
+        df.select(F.inline(F.array(*seen)))
+        .groupBy("place", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    of_rows = F.col("place") == -1
+
+    def nulls(c: str):
+        at = F.substring("value", looked_at.index(c) + 1, 1) == "1"
+        return F.sum(F.when(of_rows & at, F.col("n")))
+
+    totals = [F.sum(F.when(of_rows, F.col("n"))).alias("_rows")]
+    totals += [nulls(c).alias(f"_nulls_{i}") for i, c in enumerate(looked_at)]
+    totals += [
+        F.count(F.when(F.col("place") == i, F.col("value"))).alias(f"_distinct_{i}")
+        for i in range(len(unique))
     ]
+    filled = counted.agg(*totals).fillna(0)
+    return _report(
+        filled, required, unique,
+        {c: F.col(f"_nulls_{i}") for i, c in enumerate(looked_at)},
+        {c: F.col(f"_distinct_{i}") for i, c in enumerate(unique)},
+    )
+
+
+def _as_text(df: DataFrame, name: str):
+    """Equal texts for equal values, and only for them; NULL for NULL."""
+    kind, value = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (value + F.lit(0.0).cast(kind)).cast("string")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("string")
+    return value.cast("string")
+
+
+def _report(
+    counts: DataFrame, required: list[str], unique: list[str], nulls: dict, distinct: dict
+) -> DataFrame:
+    """The report of one row that has `_rows` and the given columns."""
+    checks = [("row_count", F.lit(0).cast("bigint"))]
+    checks += [(f"not_null:{c}", nulls[c]) for c in required]
+    checks += [(f"unique:{c}", F.col("_rows") - nulls[c] - distinct[c]) for c in unique]
     report = F.array(
         *[
             F.struct(
                 F.lit(name).alias("check_name"),
                 F.col("_rows").alias("n_rows"),
-                failed.alias("n_failed"),
+                failed.cast("bigint").alias("n_failed"),
             )
             for name, failed in checks
         ]
     )
-    return df.agg(*counts).select(F.inline(report))
+    return counts.select(F.inline(report))
+
+
+def write_checked(
+    wh: Warehouse,
+    layer: str,
+    table: str,
+    rows: DataFrame,
+    required: list[str],
+    unique: list[str] | None = None,
+    cluster_by: list[str] | None = None,
+) -> tuple[Version, DataFrame]:
+    """A written version of a model and its quality report, which the job can act on
+    before it commits the version.
+
+    Rows and NULLs are counted by the job that writes them. Only the unique columns
+    are read again, from the written files.
+    """
+    unique = unique or []
+    looked_at = list(dict.fromkeys([*required, *unique]))
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("_rows")]
+    counts += [F.count_if(F.col(c).isNull()).alias(f"_nulls_{i}") for i, c in enumerate(looked_at)]
+    version = wh.write(layer, table, rows, cluster_by, lambda df: df.observe(seen, *counts))
+    found = seen.get
+    n = found.get("_rows", 0)
+    written = quality_report(wh.read(version).select(*unique), [], unique) if unique else None
+    repeated = {r.check_name: r.n_failed for r in written.collect()} if unique else {}
+    nulls = {c: found.get(f"_nulls_{i}", 0) for i, c in enumerate(looked_at)}
+    rows_of = [("row_count", n, 0)]
+    rows_of += [(f"not_null:{c}", n, nulls[c]) for c in required]
+    rows_of += [(f"unique:{c}", n, repeated[f"unique:{c}"]) for c in unique]
+    report = wh.spark.createDataFrame(
+        rows_of, "check_name string, n_rows bigint, n_failed bigint"
+    )
+    return version, report
 
 
 def failed_checks(report: DataFrame, min_rows: int = 1) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone import schemas as S
-from marlstone.plans import gold, serve, silver, symbols
+from marlstone.plans import checks, gold, serve, silver, symbols
 from marlstone.sources.tables import (
     BRONZE_LAYER,
     GOLD_LAYER,
@@ -86,11 +86,22 @@ def refresh_gold(
     wh.commit(_write_gold(wh, markets, prices, user_watchlists, user_profiles, watch_on))
 
 
-def refresh_live(wh: Warehouse, strict: bool = True) -> DataFrame:
-    """Rebuild only the market tables, the ones a live view needs."""
+def refresh_live(wh: Warehouse, strict: bool = True, checked: bool = False) -> DataFrame:
+    """Rebuild only the market tables, the ones a live view needs.
+
+    `checked` commits them only if there are rows, each of one coin with an id.
+    """
     raw = wh.table(BRONZE_LAYER, S.RAW_MARKETS)
     rows = silver.stg_markets(raw, strict)
-    markets = wh.write(SILVER_LAYER, S.STG_MARKETS, rows, ["coin_id"])
+    if checked:
+        markets, report = checks.write_checked(
+            wh, SILVER_LAYER, S.STG_MARKETS, rows, ["coin_id"], ["coin_id"], ["coin_id"]
+        )
+        failed = checks.failed_checks(report).collect()
+        if failed:
+            raise ValueError(f"not committed: {[r.asDict() for r in failed]}")
+    else:
+        markets = wh.write(SILVER_LAYER, S.STG_MARKETS, rows, ["coin_id"])
     wh.commit([markets, _write_summary(wh, wh.read(markets))])
     return wh.table(GOLD_LAYER, S.MART_MARKET_SUMMARY)
 

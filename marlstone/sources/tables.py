@@ -258,20 +258,26 @@ class Warehouse:
         return self.table(layer, table)
 
     def write(
-        self, layer: str, table: str, rows: DataFrame, cluster_by: list[str] | None = None
+        self,
+        layer: str,
+        table: str,
+        rows: DataFrame,
+        cluster_by: list[str] | None = None,
+        last: Callable[[DataFrame], DataFrame] = lambda rows: rows,
     ) -> Version:
         """Write a new version of a model, which no reader sees before it is committed.
 
         `cluster_by` puts the rows into ranges of these columns, in files of a size
         that Spark chooses from the data, each sorted: a filter on the first column
         then skips most files by their statistics, and what is read in order needs no
-        wide sort. A value with very many rows is divided by the further columns.
+        wide sort. A value with very many rows is divided by the further columns. `last`
+        is applied to the rows as they are written, to observe them say.
         """
         self.create_layers()
         version = self.new_name(layer, table, "v")
         if cluster_by:
             rows = rows.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-        rows.write.format("parquet").mode("errorifexists").saveAsTable(version)
+        last(rows).write.format("parquet").mode("errorifexists").saveAsTable(version)
         return Version(layer, table, version, tuple(rows.columns))
 
     def read(self, version: Version) -> DataFrame:

@@ -25,6 +25,7 @@ EAGER = {
     "incremental_price_history", "incremental_historical_prices", "merged_price_history",
     "live_prices_by_coin", "coin_symbols",
     "bronze_append_batch", "landing_by_arrival", "replay_by_arrival",
+    "quality_of_write",
 }
 
 
@@ -211,6 +212,14 @@ def test_dashboard_sorts_once(spark):
     assert text.count("Exchange rangepartitioning") == 1
 
 
+def test_quality_report_reads_once_and_expands_nothing(spark):
+    text = tree(entry.quality_report(spark, SF))
+    assert text.count("FileScan") == 1 and "Expand" not in text
+    # Patterns and values are counted before they are dealt out.
+    above = text.split("Generate inline(array(struct(place")[0]
+    assert re.search(r"HashAggregate.*Exchange hashpartitioning\(place.*HashAggregate", above, re.S)
+
+
 def test_quality_report_needs_no_window_over_the_result(spark):
     assert "Window [" not in tree(entry.quality_report(spark, SF)).split("HashAggregate")[0]
 
