@@ -17,6 +17,7 @@ from marlstone.llm import (
     toxicity,
     url_filter,
 )
+from marlstone.llm import oracles as sql
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -36,4 +37,8 @@ QUERIES = {
 
 
 def oracles() -> dict[str, str]:
-    return {"op7_url_rules": url_filter.oracle()}
+    return {
+        "op7_url_rules": url_filter.oracle(),
+        "op11_spelling_variants": sql.spelling_variants(),
+        "op12_conversation_repair": sql.conversation_repair(),
+    }

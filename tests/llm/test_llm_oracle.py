@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", list(queries.oracles()))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "labels", "benchmark"):
+    for table in ("documents", "pages", "labels", "benchmark", "conversations"):
         connection.execute(
             f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'"
         )
