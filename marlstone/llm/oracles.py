@@ -180,3 +180,38 @@ def conversation_repair() -> str:
         LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
         LEFT JOIN audits a ON o.conv_id IS NOT DISTINCT FROM a.conv_id
         LEFT JOIN digests d ON o.conv_id IS NOT DISTINCT FROM d.conv_id"""
+
+
+def suffix_dedup() -> str:
+    """All windows of 400 bytes by their digest; runs of those that start twice."""
+    return """
+        WITH bytes AS MATERIALIZED (
+            SELECT doc_id, row_number() OVER () AS row, encode(coalesce(text, '')) AS raw,
+                   octet_length(encode(coalesce(text, ''))) AS n_bytes
+            FROM documents),
+        windows AS MATERIALIZED (
+            SELECT row, i, md5_number(raw[i + 1 : i + 400]) AS seen
+            FROM (SELECT row, raw, unnest(range(n_bytes - 399)) AS i FROM bytes WHERE n_bytes >= 400)),
+        repeated AS (
+            SELECT seen FROM windows GROUP BY seen HAVING count(*) > 1),
+        starts AS (
+            SELECT row, i, lag(i) OVER (PARTITION BY row ORDER BY i) AS before
+            FROM windows SEMI JOIN repeated USING (seen)),
+        runs AS (
+            SELECT row, i, sum(CAST(before IS NULL OR i > before + 400 AS INT))
+                               OVER (PARTITION BY row ORDER BY i) AS run
+            FROM starts),
+        spans AS (
+            SELECT row, run, min(i) AS a, max(i) + 400 AS b FROM runs GROUP BY row, run),
+        gaps AS (
+            SELECT row, coalesce(lag(b) OVER (PARTITION BY row ORDER BY a), 0) AS a, a AS b FROM spans
+            UNION ALL
+            SELECT b.row, coalesce(max(s.b), 0), b.n_bytes
+            FROM bytes b LEFT JOIN spans s ON s.row = b.row GROUP BY b.row, b.n_bytes),
+        kept AS (
+            SELECT g.row, coalesce(string_agg(hex(raw[g.a + 1 : g.b]), '' ORDER BY g.a), '') AS hexed
+            FROM gaps g JOIN bytes USING (row) GROUP BY g.row)
+        SELECT doc_id, n_bytes, n_bytes - length(k.hexed) // 2 AS n_removed,
+               (SELECT count(*) FROM spans s WHERE s.row = b.row) AS n_spans,
+               sha256(unhex(k.hexed)) AS kept_sha256
+        FROM bytes b JOIN kept k ON k.row = b.row"""

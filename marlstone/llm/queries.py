@@ -39,6 +39,7 @@ QUERIES = {
 def oracles() -> dict[str, str]:
     return {
         "op7_url_rules": url_filter.oracle(),
+        "op9_suffix_dedup": sql.suffix_dedup(),
         "op11_spelling_variants": sql.spelling_variants(),
         "op12_conversation_repair": sql.conversation_repair(),
     }
