@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pandas as pd
@@ -25,9 +27,46 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
+    if (here := _stored_here.get()) is not None:
+        here.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_stored_here: ContextVar[list[str] | None] = ContextVar("stored_here", default=None)
+"""Folders that the innermost `settled` is to remove."""
+
+
+def settled(make: Callable[[], DataFrame], purpose: str) -> DataFrame:
+    """What `make` returns, stored; what it has stored on the way is removed then.
+
+    Nothing that is read later may depend on those folders but the result itself.
+    """
+    own: list[str] = []
+    token = _stored_here.set(own)
+    try:
+        result = stored(make(), purpose)
+    finally:
+        _stored_here.reset(token)
+    kept = own.pop()
+    if (outer := _stored_here.get()) is not None:
+        outer.append(kept)
+    spark = result.sparkSession
+    for folder in own:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return result
+
+
+@contextmanager
+def staying() -> Iterator[None]:
+    """What is stored within stays, for frames that are handed on to be read later."""
+    token = _stored_here.set(None)
+    try:
+        yield
+    finally:
+        _stored_here.reset(token)
+
+
 def in_remainder(column: str, modulus: int, remainder: int):
     """crc32 of the value's text, modulo `modulus`, is `remainder`; NULL counts as ''."""
     key = F.coalesce(F.col(column).cast("string"), F.lit(""))

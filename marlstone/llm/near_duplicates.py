@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import bits_for, bloom_words, passes, stored, table
+from marlstone.llm.common import bits_for, bloom_words, passes, settled, stored, table
 from marlstone.llm.components import components
 from marlstone.llm.shingles import WordHashes, shingles
 
@@ -376,7 +376,7 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     A NULL id comes last. Rows without words are no class; of such rows with equal
     id and text one stays.
     """
-    found = stored(near_duplicates(documents), "forest_found")
+    found = settled(lambda: near_duplicates(documents), "forest_found")
     name = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "h1", "h2")
     kept = (
         found.where("class_key IS NOT NULL")

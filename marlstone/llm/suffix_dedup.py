@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import bits_for, bloom_words, passes, stored, table
+from marlstone.llm.common import bits_for, bloom_words, passes, settled, staying, stored, table
 from marlstone.llm.induced_sorting import Scratch, suffixes
 from marlstone.llm.shingles import WORDS, mixed
 
@@ -332,6 +332,26 @@ def repeats(
     A row for each stretch within a fragment, by the hashes of the text.
     """
     fragments = stored(_fragments(documents, length, anchor), "suffix_fragments")
+    found = settled(
+        lambda: _found(fragments, documents, length, anchor), "suffix_found"
+    )
+    return (
+        fragments.select("h1", "h2", "first", *FRAGMENT_COLUMNS)
+        .join(found, FRAGMENT_COLUMNS)
+        .select(
+            "h1",
+            "h2",
+            (F.col("first") + F.col("begin")).alias("begin"),
+            (F.col("first") + F.col("end")).alias("end"),
+        )
+        .distinct()
+    )
+
+
+def _found(
+    fragments: DataFrame, documents: DataFrame, length: int, anchor: int
+) -> DataFrame:
+    """Fragments with the first and last place, within them, of repeated strings."""
     different = stored(
         fragments.groupBy(*FRAGMENT_COLUMNS).agg(
             F.count("*").alias("n"), F.first("count").alias("count")
@@ -367,7 +387,8 @@ def repeats(
             pieces = stored(pieces, "suffix_contents")
             large = pieces.join(hot, "anchor", "left_semi").drop("key")
             pieces = pieces.join(hot, "anchor", "left_anti")
-            counted, bounded = divided(large, length, anchor)
+            with staying():
+                counted, bounded = divided(large, length, anchor)
             for frame in counted:
                 found = found.unionByName(frame)
             for frame in bounded:
@@ -381,18 +402,8 @@ def repeats(
                 "anchor long, name long, begin int, end int",
             )
         )
-        found = found.unionByName(stored(sorted_, "suffix_sorted"))
-    return (
-        fragments.select("h1", "h2", "first", *FRAGMENT_COLUMNS)
-        .join(found, FRAGMENT_COLUMNS)
-        .select(
-            "h1",
-            "h2",
-            (F.col("first") + F.col("begin")).alias("begin"),
-            (F.col("first") + F.col("end")).alias("end"),
-        )
-        .distinct()
-    )
+        found = found.unionByName(sorted_)
+    return found
 
 
 def removed_bytes(size: int, found, length: int = LENGTH) -> np.ndarray:
@@ -412,8 +423,8 @@ def with_repeats(
     Texts that may have some are told by a Bloom filter and joined to them; the
     first frame lacks only rows that may. Rows that pass by chance have a NULL.
     """
-    found = stored(
-        repeats(documents, length, anchor)
+    found = settled(
+        lambda: repeats(documents, length, anchor)
         .groupBy("h1", "h2")
         .agg(F.collect_list(F.struct("begin", "end")).alias("repeats")),
         "suffix_repeats",
