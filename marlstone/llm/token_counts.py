@@ -27,6 +27,9 @@ HUGE_CHARS = 32_768
 OVERLAP_CHARS = 256
 """On either side of a seam, at first."""
 
+CHUNKS_A_TASK = 64
+"""Of HUGE_CHARS or fewer characters; small ones are as good as free."""
+
 WIDEN = 8
 LIMIT = 512
 
@@ -60,7 +63,10 @@ def chunks(texts: DataFrame, chunk_chars: int, overlap: int) -> DataFrame:
                         rows = []
 
     made = texts.select("uid", "text").mapInPandas(cut, CHUNK_SCHEMA)
-    return made.repartition("uid", "chunk")
+    # By the work, not by the bytes, which would be too few for many tasks.
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    tasks = -(-chars // (CHUNKS_A_TASK * HUGE_CHARS)) or 1
+    return made.repartition(tasks, "uid", "chunk")
 
 
 def marks(cut: DataFrame, encoder: Callable[[], Encoder], overlap: int) -> DataFrame:
@@ -133,9 +139,11 @@ def count_huge(
     """(uid, n_tokens) of `texts` (uid, text), in chunks of `chunk_chars` or more."""
     left, done = texts, None
     while True:
-        found = stored(
-            _spliced(marks(chunks(left, chunk_chars, overlap), encoder, overlap)), "token_splices"
+        # Stored before both branches of `_spliced` read them, so chunks are encoded once.
+        marked = stored(
+            marks(chunks(left, chunk_chars, overlap), encoder, overlap), "token_marks"
         )
+        found = stored(_spliced(marked), "token_splices")
         fits = found.where("open = 0").select("uid", F.col("tokens").alias("n_tokens"))
         done = fits if done is None else done.unionByName(fits)
         failed = found.where("open > 0").select("uid")
