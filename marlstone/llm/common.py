@@ -9,8 +9,9 @@ from contextvars import ContextVar
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from marlstone.session import shared_dir
 
@@ -73,6 +74,34 @@ def in_remainder(column: str, modulus: int, remainder: int):
     return F.crc32(key.cast("binary")) % modulus == remainder
 
 
+# -- columns --------------------------------------------------------------------
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """`names`, with underscores added until `df` has no such column."""
+    taken, free = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
+def id_type(df: DataFrame, column: str = "doc_id") -> str:
+    """Integers are carried as long, ids of any other type as their text."""
+    return "long" if isinstance(df.schema[column].dataType, IntegralType) else "string"
+
+
+def carried_id(df: DataFrame, column: str = "doc_id") -> list[Column]:
+    """doc_id without NULLs, which pandas would turn integers to floats for, and no_id."""
+    kind = id_type(df, column)
+    return [
+        F.coalesce(F.col(column).cast(kind), F.lit(0).cast(kind)).alias("doc_id"),
+        F.col(column).isNull().alias("no_id"),
+    ]
+
+
 # -- Bloom filters -------------------------------------------------------------
 
 MAX_BITS = 1 << 27
@@ -85,6 +114,11 @@ def bits_for(keys: int, rate: float) -> int:
     return min(MAX_BITS, 1 << int(np.ceil(np.log2(wanted))))
 
 
+def hashes_for(keys: int, bits: int, most: int) -> int:
+    """As many as let the fewest other keys through, at most `most`."""
+    return int(min(most, max(1, round(bits / max(keys, 1) * np.log(2)))))
+
+
 def positions(low: np.ndarray, high: np.ndarray, bits: int, hashes: int) -> np.ndarray:
     """Bit positions by double hashing; low, high: uint64. A row for each hash."""
     k = np.arange(hashes, dtype=np.uint64)[:, None]

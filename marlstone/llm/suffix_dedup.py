@@ -31,7 +31,20 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import bits_for, bloom_words, passes, settled, staying, stored, table
+from marlstone.llm.common import (
+    bits_for,
+    bloom_words,
+    carried_id,
+    free_names,
+    hashes_for,
+    id_type,
+    mixed_pair,
+    passes,
+    settled,
+    staying,
+    stored,
+    table,
+)
 from marlstone.llm.induced_sorting import Scratch, suffixes
 from marlstone.llm.shingles import WORDS, mixed
 
@@ -115,13 +128,60 @@ FRAGMENT_COLUMNS = ["anchor", "name"]
 """Hashes of the anchor and of the whole fragment, together 128 bits."""
 
 
-def _named(raw: bytes, cutter: Fragments) -> tuple[np.ndarray, ...]:
-    """first, count, anchor, name of a text's fragments."""
+class Anchors:
+    """A Bloom filter of the anchors that occur twice or more in all texts.
+
+    Equal windows have equal anchors at the same place, so a fragment whose anchor
+    occurs once holds no repeated window. What passes by chance is counted as well.
+    """
+
+    def __init__(self, documents: DataFrame, length: int, anchor: int) -> None:
+        def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            cutter = Fragments(length, anchor)
+            for frame in frames:
+                parts = [
+                    own
+                    for raw in frame["raw"]
+                    for _, _, own in cutter.of(np.frombuffer(raw, dtype=np.uint8))
+                ]
+                if parts:
+                    own, n = np.unique(np.concatenate(parts), return_counts=True)
+                    yield pd.DataFrame({"anchor": own.view(np.int64), "n": n})
+
+        counted = (
+            _bytes_and_hashes(documents, length)
+            .select("raw")
+            .mapInPandas(count, "anchor long, n long")
+            .groupBy("anchor")
+            .agg(F.sum("n").alias("n"))
+            .where("n > 1")
+        )
+        several = stored(counted.select("anchor"), "suffix_anchors")
+        keys = several.count()
+        bits = bits_for(keys, FILTER_RATE)
+        self.hashes = hashes_for(keys, bits, FILTER_HASHES)
+
+        def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                low, high = mixed_pair(frame["anchor"].to_numpy().view("uint64"))
+                yield pd.DataFrame({"low": low.view("int64"), "high": high.view("int64")})
+
+        self.words = bloom_words(
+            several.mapInPandas(pair, "low long, high long"), bits, self.hashes
+        )
+
+
+def _named(
+    raw: bytes, cutter: Fragments, words: np.ndarray, hashes: int
+) -> tuple[np.ndarray, ...]:
+    """first, count, anchor, name of a text's fragments whose anchors pass."""
     parts = list(cutter.of(np.frombuffer(raw, dtype=np.uint8)))
     if not parts:
         empty = np.empty(0, dtype=np.int64)
         return empty, empty, empty, empty
     first, count, anchor = (np.concatenate(x) for x in zip(*parts))
+    kept = passes(words, *mixed_pair(anchor), hashes)
+    first, count, anchor = first[kept], count[kept], anchor[kept]
     digest, ends = xxhash.xxh3_64_intdigest, first + count + cutter.length - 1
     name = [digest(raw[a:b]) for a, b in zip(first.tolist(), ends.tolist())]
     return first, count, anchor.view(np.int64), np.array(name, np.uint64).view(np.int64)
@@ -135,15 +195,18 @@ def _bytes_and_hashes(documents: DataFrame, length: int) -> DataFrame:
     ).where(F.length("raw") >= length)
 
 
-def _fragments(documents: DataFrame, length: int, anchor: int) -> DataFrame:
-    """(h1, h2, first, count, anchor, name) for each fragment of each row."""
+def _fragments(
+    documents: DataFrame, length: int, anchor: int, several: Anchors
+) -> DataFrame:
+    """(h1, h2, first, count, anchor, name) for each fragment with one of the anchors."""
+    words, hashes = several.words, several.hashes
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter = Fragments(length, anchor)
         for frame in frames:
             for at in range(0, len(frame), 256):
                 part = frame.iloc[at : at + 256]
-                found = [_named(raw, cutter) for raw in part["raw"]]
+                found = [_named(raw, cutter, words, hashes) for raw in part["raw"]]
                 sizes = [x[0].size for x in found]
                 columns = [np.concatenate(x) for x in zip(*found)]
                 made = pd.DataFrame(
@@ -160,9 +223,10 @@ def _fragments(documents: DataFrame, length: int, anchor: int) -> DataFrame:
 
 
 def _contents(
-    documents: DataFrame, wanted: DataFrame, length: int, anchor: int
+    documents: DataFrame, wanted: DataFrame, length: int, anchor: int, several: Anchors
 ) -> DataFrame:
     """(anchor, name, content) of fragments in `wanted`, and of a few more."""
+    own_words, own_hashes = several.words, several.hashes
     bits = bits_for(wanted.count(), FILTER_RATE)
     hashed = wanted.select(F.col("anchor").alias("low"), F.col("name").alias("high"))
     words = bloom_words(hashed, bits, FILTER_HASHES)
@@ -172,7 +236,7 @@ def _contents(
         for frame in frames:
             rows = []
             for raw in frame["raw"]:
-                first, count, own, name = _named(raw, cutter)
+                first, count, own, name = _named(raw, cutter, own_words, own_hashes)
                 low, high = own.view("uint64"), name.view("uint64")
                 found = passes(words, low, high, FILTER_HASHES)
                 for i in np.nonzero(found)[0]:
@@ -331,9 +395,12 @@ def repeats(
 
     A row for each stretch within a fragment, by the hashes of the text.
     """
-    fragments = stored(_fragments(documents, length, anchor), "suffix_fragments")
+    several = Anchors(documents, length, anchor)
+    fragments = stored(
+        _fragments(documents, length, anchor, several), "suffix_fragments"
+    )
     found = settled(
-        lambda: _found(fragments, documents, length, anchor), "suffix_found"
+        lambda: _found(fragments, documents, length, anchor, several), "suffix_found"
     )
     return (
         fragments.select("h1", "h2", "first", *FRAGMENT_COLUMNS)
@@ -349,7 +416,11 @@ def repeats(
 
 
 def _found(
-    fragments: DataFrame, documents: DataFrame, length: int, anchor: int
+    fragments: DataFrame,
+    documents: DataFrame,
+    length: int,
+    anchor: int,
+    several: Anchors,
 ) -> DataFrame:
     """Fragments with the first and last place, within them, of repeated strings."""
     different = stored(
@@ -358,13 +429,13 @@ def _found(
         ),
         "suffix_different",
     )
-    several = (
+    unsettled = (
         different.groupBy("anchor")
         .agg(F.count("*").alias("variants"), F.min("n").alias("least"))
         .where("variants > 1 AND least = 1")
         .select("anchor")
     )
-    to_sort = stored(different.join(several, "anchor", "left_semi"), "suffix_to_sort")
+    to_sort = stored(different.join(unsettled, "anchor", "left_semi"), "suffix_to_sort")
     groups = to_sort.groupBy("anchor").agg(F.sum(F.col("count") + length).alias("bytes"))
     hot = stored(groups.where(F.col("bytes") > GROUP_BYTES).select("anchor"), "suffix_hot")
     found = different.where("n > 1").select(
@@ -374,7 +445,7 @@ def _found(
     if total:
         pieces = (
             to_sort.select(*FRAGMENT_COLUMNS, "n")
-            .join(_contents(documents, to_sort, length, anchor), FRAGMENT_COLUMNS)
+            .join(_contents(documents, to_sort, length, anchor, several), FRAGMENT_COLUMNS)
             .select(
                 *FRAGMENT_COLUMNS,
                 "n",
@@ -417,20 +488,23 @@ def removed_bytes(size: int, found, length: int = LENGTH) -> np.ndarray:
 
 def with_repeats(
     documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR
-) -> tuple[DataFrame, DataFrame]:
-    """Rows without any repeated string, and rows with a column `repeats`.
+) -> tuple[DataFrame, DataFrame, str]:
+    """Rows without any repeated string, rows with a column of them, and its name.
 
     Texts that may have some are told by a Bloom filter and joined to them; the
     first frame lacks only rows that may. Rows that pass by chance have a NULL.
     """
+    spans, r1, r2, h1, h2, maybe = free_names(
+        documents, "repeats", "r1", "r2", "h1", "h2", "may"
+    )
     found = settled(
         lambda: repeats(documents, length, anchor)
         .groupBy("h1", "h2")
-        .agg(F.collect_list(F.struct("begin", "end")).alias("repeats")),
+        .agg(F.collect_list(F.struct("begin", "end")).alias("spans")),
         "suffix_repeats",
-    ).withColumnsRenamed({"h1": "_r1", "h2": "_r2"})
+    ).toDF(r1, r2, spans)
     bits = bits_for(found.count(), FILTER_RATE)
-    hashed = found.select(F.col("_r1").alias("low"), F.col("_r2").alias("high"))
+    hashed = found.select(F.col(r1).alias("low"), F.col(r2).alias("high"))
     words = bloom_words(hashed, bits, FILTER_HASHES)
 
     @F.pandas_udf("boolean")
@@ -439,12 +513,12 @@ def with_repeats(
         return pd.Series(passes(words, low, high, FILTER_HASHES))
 
     marked = documents.withColumns(
-        {"_h1": F.xxhash64("text"), "_h2": F.xxhash64(F.lit(1), "text")}
-    ).withColumn("_may", may("_h1", "_h2"))
-    plain = marked.where("NOT _may").drop("_h1", "_h2", "_may")
-    matches = (F.col("_h1") == F.col("_r1")) & (F.col("_h2") == F.col("_r2"))
-    others = marked.where("_may").join(found, matches, "left")
-    return plain, others.drop("_h1", "_h2", "_may", "_r1", "_r2")
+        {h1: F.xxhash64("text"), h2: F.xxhash64(F.lit(1), "text")}
+    ).withColumn(maybe, may(h1, h2))
+    plain = marked.where(~F.col(maybe)).drop(h1, h2, maybe)
+    matches = (F.col(h1) == F.col(r1)) & (F.col(h2) == F.col(r2))
+    others = marked.where(F.col(maybe)).join(found, matches, "left")
+    return plain, others.drop(h1, h2, maybe, r1, r2), spans
 
 
 def remove_repeats(
@@ -455,10 +529,10 @@ def remove_repeats(
     Bytes are those of the UTF-8 text, none for NULL. n_spans counts maximal runs
     of removed bytes; kept_sha256 is of the bytes that remain. Copies of a text of
     `length` bytes or more lose all of it, the first as well. NULL ids and repeated
-    rows stay; other columns are ignored.
+    rows stay, ids that are no integers are text; other columns are ignored.
     """
     rows = documents.select("doc_id", "text")
-    plain, others = with_repeats(rows, length, anchor)
+    plain, others, spans = with_repeats(rows, length, anchor)
     raw = F.coalesce("text", F.lit("")).cast("binary")
 
     def strip(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -477,22 +551,21 @@ def remove_repeats(
 
     stripped = (
         others.select(
-            F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"),
-            F.col("doc_id").isNull().alias("no_id"),
+            *carried_id(documents),
             F.length(raw).cast("long").alias("n_bytes"),
             raw.alias("raw"),
-            "repeats",
+            F.col(spans).alias("repeats"),
         )
         .mapInPandas(
             strip,
-            "doc_id long, no_id boolean, n_bytes long, n_removed long, n_spans long,"
+            f"doc_id {id_type(documents)}, no_id boolean, n_bytes long, n_removed long, n_spans long,"
             " kept_sha256 string",
         )
         .withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id")))
         .drop("no_id")
     )
     untouched = plain.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("doc_id").cast(id_type(documents)).alias("doc_id"),
         F.length(raw).cast("long").alias("n_bytes"),
         F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"),
@@ -521,10 +594,12 @@ def without_repeats(
     """`documents` with repeated strings taken out of text, n_chars to match.
 
     A character goes if one of its bytes does. Rows left without text go; rows
-    whose text was empty or NULL before stay. With `over_words`, a run of removed
+    whose text was empty or NULL before stay; columns of other names, NULL ids and
+    repeated rows stay as they are. With `over_words`, a run of removed
     bytes that is shorter than LENGTH stays if it has no more whole words.
     """
-    plain, others = with_repeats(documents, length, anchor)
+    plain, others, spans = with_repeats(documents, length, anchor)
+    (stripped_text,) = free_names(others, "stripped")
 
     @F.pandas_udf("string")
     def strip(texts: pd.Series, found: pd.Series) -> pd.Series:
@@ -546,17 +621,17 @@ def without_repeats(
             made.append(text)
         return pd.Series(made, dtype="object")
 
-    changed = F.size(F.coalesce("repeats", F.array())) > 0
+    changed = F.size(F.coalesce(spans, F.array())) > 0
     stripped = (
-        others.withColumn("_text", strip("text", "repeats"))
-        .where(~changed | (F.length("_text") > 0))
-        .withColumn("text", F.col("_text"))
+        others.withColumn(stripped_text, strip("text", F.col(spans)))
+        .where(~changed | (F.length(stripped_text) > 0))
+        .withColumn("text", F.col(stripped_text))
     )
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         counted = F.when(changed, F.length("text")).otherwise(F.col("n_chars"))
         stripped = stripped.withColumn("n_chars", counted.cast(kind))
-    return plain.unionByName(stripped.select(*plain.columns))
+    return plain.unionByName(stripped.drop(spans, stripped_text))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
