@@ -12,7 +12,7 @@ one space, in training and prediction alike.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,11 +21,14 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import in_remainder, table
+from marlstone.llm.common import free_names, in_remainder, table
 
 SAMPLE_DOCS = 400
 """Training texts taken for each language at most, those with the lowest hash."""
 
+RANKS = 16
+"""Windows that a language's hashes are ranked in before the last one."""
+
 SAMPLE_CHARS = 1500
 """Characters that a training text gives to its dictionary at most."""
 
@@ -69,20 +72,28 @@ def dictionaries(training: DataFrame) -> dict[str, bytes]:
     a language. Rows without text or language teach nothing.
     """
     rows = training.where("lang IS NOT NULL AND text IS NOT NULL").select(
-        "lang", "text", F.xxhash64("text").alias("pick")
+        "lang",
+        F.substring("text", 1, SAMPLE_CHARS).alias("text"),
+        F.xxhash64("text").alias("pick"),
     )
-    # Hashes first, so that copies of one text count once and no text is shuffled.
+    # Hashes first, so that copies of one text count once; texts meet the picks,
+    # SAMPLE_DOCS a language, where they are, and only picked ones are shuffled.
+    # Ranked by groups of tasks first: the last window gets RANKS * SAMPLE_DOCS rows.
+    some = Window.partitionBy("lang", "group").orderBy("pick")
     lowest = Window.partitionBy("lang").orderBy("pick")
     picks = (
         rows.select("lang", "pick")
         .distinct()
-        .withColumn("n", F.row_number().over(lowest))
+        .withColumn("group", F.spark_partition_id() % RANKS)
+        .withColumn("n", F.row_number().over(some))
+        .where(F.col("n") <= SAMPLE_DOCS)
+        .select("lang", "pick", F.row_number().over(lowest).alias("n"))
         .where(F.col("n") <= SAMPLE_DOCS)
     )
     sample = (
-        rows.join(picks, ["lang", "pick"])
+        rows.join(F.broadcast(picks), ["lang", "pick"])
         .dropDuplicates(["lang", "pick"])
-        .select("lang", "n", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+        .select("lang", "n", "text")
         .toPandas()
         .sort_values(["lang", "n"])
     )
@@ -153,8 +164,19 @@ def identify(
     texts that are NULL or have no letter, or if `content` is empty. All columns
     and repeated rows stay; columns with these three names are replaced.
     """
-    made = ("lang_pred", "lang_score", "lang_rejected")
-    documents = documents.drop(*made)
+    documents = documents.drop("lang_pred", "lang_score", "lang_rejected")
+    (judged,) = free_names(documents, "judged")
+    return documents.withColumn(judged, judgement(content, text_column)).withColumns(
+        {
+            "lang_pred": F.col(f"{judged}.lang"),
+            "lang_score": F.col(f"{judged}.score"),
+            "lang_rejected": F.col(f"{judged}.rejected"),
+        }
+    ).drop(judged)
+
+
+def judgement(content: dict[str, bytes], text_column: str = "text") -> Column:
+    """A struct of lang, score and rejected."""
 
     def judge(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         compressors = Compressors(content)
@@ -163,12 +185,7 @@ def identify(
             yield pd.DataFrame(rows, columns=["lang", "score", "rejected"])
 
     judged = F.pandas_udf(judge, "lang string, score double, rejected boolean")
-    return documents.withColumn("_judged", judged(F.col(text_column))).select(
-        *documents.columns,
-        F.col("_judged.lang").alias(made[0]),
-        F.col("_judged.score").alias(made[1]),
-        F.col("_judged.rejected").alias(made[2]),
-    )
+    return judged(F.col(text_column))
 
 
 def held_out(id_column: str = "doc_id") -> Column:
@@ -193,8 +210,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline: documents whose language is told clearly stay, unchanged."""
+    """Pipeline: documents whose language is told clearly stay, unchanged.
+
+    NULL and empty texts and those without a letter have none and go; columns of
+    any name, NULL ids and repeated rows stay as they are.
+    """
     content = learn(table(spark, sf_dir, "documents"))
-    kept = identify(docs, content).where(~F.col("lang_rejected"))
-    columns: Sequence[str] = docs.columns
-    return kept.select(*columns)
+    (judged,) = free_names(docs, "judged")
+    kept = docs.withColumn(judged, judgement(content)).where(~F.col(f"{judged}.rejected"))
+    return kept.drop(judged)
