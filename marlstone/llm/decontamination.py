@@ -21,7 +21,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import bits_for, bloom_words, mixed_pair, passes, stored, table
+from marlstone.llm.common import (
+    bits_for,
+    bloom_words,
+    carried_id,
+    free_names,
+    id_type,
+    mixed_pair,
+    passes,
+    stored,
+    table,
+)
 from marlstone.llm.shingles import WordHashes, runs
 
 #: Places of a mask's words. Of any words that `is_leak` accepts in an item of at
@@ -105,7 +115,7 @@ def _item_seeds(items: DataFrame) -> DataFrame:
 
 
 PART_SCHEMA = (
-    "doc_id long, no_id boolean, h1 long, h2 long, part binary, first int,"
+    "no_id boolean, h1 long, h2 long, part binary, first int,"
     " words binary, hits array<struct<mask:int, hash:bigint, at:int>>"
 )
 
@@ -181,12 +191,11 @@ def _parts(documents: DataFrame, seed_rows: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=[*columns, "part", "first", "words", "hits"])
 
     return documents.select(
-        F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"),
-        F.col("doc_id").isNull().alias("no_id"),
+        *carried_id(documents),
         F.xxhash64("text").alias("h1"),
         F.xxhash64(F.lit(1), "text").alias("h2"),
         "text",
-    ).mapInPandas(run, PART_SCHEMA)
+    ).mapInPandas(run, f"doc_id {id_type(documents)}, {PART_SCHEMA}")
 
 
 def overlap(left: np.ndarray, right: np.ndarray, shift: int) -> tuple[int, int, int]:
@@ -234,7 +243,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     One row per document and item: doc_id, h1, h2 (hashes of the text), item_id
     (as text), start_word, end_word, matched (equal words) of the overlap with
     most equal words, the first of several. Rows without words have no overlap,
-    repeated rows give one, NULL ids are kept. Other columns are ignored.
+    repeated rows give one, NULL ids are kept, ids that are no integers are text.
+    Other columns are ignored.
     """
     items = stored(_items(benchmark), "leak_items")
     seed_rows = stored(_item_seeds(items), "leak_seeds")
@@ -255,7 +265,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         )
         .mapInPandas(
             _verify,
-            "doc_id long, no_id boolean, h1 long, h2 long, item long,"
+            f"doc_id {id_type(documents)}, no_id boolean, h1 long, h2 long, item long,"
             " start long, end long, matched long",
         )
     )
@@ -274,19 +284,25 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.drop("h1", "h2").withColumn("item_id", F.col("item_id").cast("long"))
+    benchmark = table(spark, sf_dir, "benchmark")
+    found = leaks(table(spark, sf_dir, "documents"), benchmark)
+    kind = id_type(benchmark, "item_id")
+    return found.drop("h1", "h2").withColumn("item_id", F.col("item_id").cast(kind))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline: documents without a leaked benchmark item stay, unchanged."""
+    """Pipeline: documents without a leaked benchmark item stay, unchanged.
+
+    NULL and empty texts stay, as do repeated rows, NULL ids and columns of any name.
+    """
+    own_id, f1, f2 = free_names(docs, "id", "f1", "f2")
     found = leaks(docs, table(spark, sf_dir, "benchmark"))
     found = stored(found.select("doc_id", "h1", "h2").distinct(), "leaking").select(
-        F.col("doc_id").alias("_id"), F.col("h1").alias("_f1"), F.col("h2").alias("_f2")
+        F.col("doc_id").alias(own_id), F.col("h1").alias(f1), F.col("h2").alias(f2)
     )
     matches = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & (F.xxhash64("text") == F.col("_f1"))
-        & (F.xxhash64(F.lit(1), "text") == F.col("_f2"))
+        F.col("doc_id").cast(id_type(docs)).eqNullSafe(F.col(own_id))
+        & (F.xxhash64("text") == F.col(f1))
+        & (F.xxhash64(F.lit(1), "text") == F.col(f2))
     )
-    return docs.join(found, matches, "left_anti").select(*docs.columns)
+    return docs.join(found, matches, "left_anti")

@@ -22,7 +22,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import bits_for, bloom_words, passes, settled, stored, table
+from marlstone.llm.common import (
+    bits_for,
+    bloom_words,
+    carried_id,
+    free_names,
+    id_type,
+    passes,
+    settled,
+    stored,
+    table,
+)
 from marlstone.llm.components import components
 from marlstone.llm.shingles import WordHashes, shingles
 
@@ -94,13 +104,9 @@ def signed(documents: DataFrame) -> DataFrame:
             yield frame
 
     flagged = _with_text_hashes(documents).select(
-        F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"),
-        F.col("doc_id").isNull().alias("no_id"),
-        "h1",
-        "h2",
-        "text",
+        *carried_id(documents), "h1", "h2", "text"
     )
-    schema = "doc_id long, no_id boolean, h1 long, h2 long, key binary, n int, sig binary"
+    schema = f"doc_id {id_type(documents)}, no_id boolean, h1 long, h2 long, key binary, n int, sig binary"
     made = flagged.mapInPandas(sign, schema)
     return made.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop(
         "no_id"
@@ -319,7 +325,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     copies those with the same set, the row itself among them. A text of fewer
     than SHINGLE_WORDS words is one shingle. A row without words (NULL, empty)
     links to none, and its class is its own doc_id. Repeated rows are copies;
-    NULL ids take part, but name no class. h1 and h2 are hashes of the text;
+    NULL ids take part, but name no class; ids that are no integers are text. h1 and h2 are hashes of the text;
     class_key tells classes apart, NULL for rows without words.
     """
     rows = stored(signed(documents), "forest_signed")
@@ -377,6 +383,7 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     id and text one stays.
     """
     found = settled(lambda: near_duplicates(documents), "forest_found")
+    own_id, f1, f2, h1, h2 = free_names(documents, "id", "f1", "f2", "h1", "h2")
     name = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "h1", "h2")
     kept = (
         found.where("class_key IS NOT NULL")
@@ -384,21 +391,24 @@ def one_of_each(documents: DataFrame) -> DataFrame:
         .agg(F.min(name).alias("name"))
         .select("name.*")
         .unionByName(found.where("class_key IS NULL").select(name.alias("name")).select("name.*"))
-        .select(F.col("doc_id").alias("_id"), F.col("h1").alias("_f1"), F.col("h2").alias("_f2"))
+        .select(F.col("doc_id").alias(own_id), F.col("h1").alias(f1), F.col("h2").alias(f2))
     )
-    columns = documents.columns
     hashed = documents.withColumns(
-        {"_h1": F.xxhash64("text"), "_h2": F.xxhash64(F.lit(1), "text")}
+        {h1: F.xxhash64("text"), h2: F.xxhash64(F.lit(1), "text")}
     )
     matches = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & (F.col("_h1") == F.col("_f1"))
-        & (F.col("_h2") == F.col("_f2"))
+        F.col("doc_id").cast(id_type(documents)).eqNullSafe(F.col(own_id))
+        & (F.col(h1) == F.col(f1))
+        & (F.col(h2) == F.col(f2))
     )
     named = hashed.join(kept, matches, "left_semi")
-    return named.dropDuplicates(["doc_id", "_h1", "_h2"]).select(*columns)
+    return named.dropDuplicates(["doc_id", h1, h2]).drop(h1, h2)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline: one document of each class stays, unchanged."""
+    """Pipeline: one document of each class stays, unchanged.
+
+    Columns of any name stay as they are; for NULLs, empty texts and repeated rows
+    see `one_of_each`.
+    """
     return one_of_each(docs)
