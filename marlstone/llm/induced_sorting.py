@@ -9,8 +9,9 @@ by its first letter, and with it the length of the prefix that it shares with th
 suffix queued before it under that letter.
 
 The queue keeps sorted runs, in files once they are large, and is read and filled
-in blocks: as many entries at once as cannot receive one another. Work is numpy on
-whole blocks.
+in blocks, in numpy. What entries of a block put back may belong in the same block;
+it is added and the block sorted anew until it holds all it receives. Where that
+takes too long, or prefixes are kept, a block ends before the first such entry.
 """
 
 from __future__ import annotations
@@ -22,9 +23,9 @@ import numpy as np
 
 BLOCK = 1 << 16
 LEAST_BLOCK = 128
+MAX_ROUNDS = 24
+"""In which a block receives from itself."""
 MAX_RUNS = 6
-NEARLY_DIFFERENT = 0.6
-"""Share of different names from which the recursion ends."""
 RESIDENT_ENTRIES = 1 << 20
 """Longer runs go to a file."""
 
@@ -47,7 +48,8 @@ class Scratch:
         with tempfile.TemporaryFile(dir=self.folder.name) as file:
             data.tofile(file)
             file.flush()
-            return np.memmap(file, dtype=data.dtype, mode="r", shape=data.shape)
+            mapped = np.memmap(file, dtype=data.dtype, mode="r", shape=data.shape)
+            return mapped.view(np.ndarray)
 
 
 @dataclass
@@ -141,21 +143,95 @@ def _range_minima(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.
     return found
 
 
-def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Length of the common prefix of the suffixes at a and b, at most `cap`."""
-    found = np.zeros(a.size, dtype=np.int64)
-    at = np.arange(a.size)
-    n = text.size
-    while at.size and found[at[0]] < cap:
-        x, y = a[at] + found[at], b[at] + found[at]
-        inside = (x < n) & (y < n)
-        at, x, y = at[inside], x[inside], y[inside]
-        equal = text[x] == text[y]
-        at = at[equal]
-        found[at] += 1
+def in_fours(text: np.ndarray) -> np.ndarray:
+    """The four letters from each place on, 16 bits each, zeros behind the end."""
+    padded = np.r_[text, 0, 0, 0].astype(np.uint64)
+    found = padded[: text.size].copy()
+    for k in (1, 2, 3):
+        found |= padded[k : k + text.size] << np.uint64(16 * k)
     return found
 
 
+def common_prefix(fours: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
+    """Length of the common prefix of the suffixes at a and b, at most `cap`.
+
+    They differ, and the text ends with its only 0, so none is compared beyond it.
+    """
+    found = np.full(a.size, cap, dtype=np.int64)
+    at = np.arange(a.size)
+    for length in range(0, cap, 4):
+        differs = fours[a + length] ^ fours[b + length]
+        more = differs == 0
+        ended, differs = at[~more], differs[~more]
+        found[ended] = length
+        for bits in (16, 32, 48):
+            found[ended] += differs & np.uint64((1 << bits) - 1) == 0
+        at, a, b = at[more], a[more], b[more]
+        if not at.size:
+            break
+    return np.minimum(found, cap)
+
+
+def _equal_before(text: np.ndarray) -> np.ndarray:
+    """How many letters directly before each place are the same as its own."""
+    at = np.arange(text.size)
+    fresh = np.r_[True, text[1:] != text[:-1]]
+    return at - np.maximum.accumulate(np.where(fresh, at, 0))
+
+
+def _with_received(
+    text: np.ndarray,
+    wanted: np.ndarray,
+    equal_before: np.ndarray,
+    keys: np.ndarray,
+    places: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray] | None:
+    """A block and what it receives from itself, in order; None if that is too much.
+
+    Under a key come first the entries that were there, then those received from
+    lower keys in the order of their senders, then what these send to their own key,
+    one letter further left in a run of it each time. The order of senders is right
+    for one more link of every chain each time the block is sorted.
+    """
+    last = int(keys[-1])
+    rows: list[tuple[np.ndarray, ...]] = []
+    new, to, senders, total = places, keys, np.arange(-keys.size, 0), 0
+    while True:
+        run = np.where(wanted[new], equal_before[new], 0)
+        ends = np.cumsum(run + 1)
+        if len(rows) == MAX_ROUNDS or total + int(ends[-1]) > 4 * BLOCK:
+            return None
+        step = np.arange(ends[-1]) - np.repeat(ends - run - 1, run + 1)
+        rows.append(
+            (
+                np.repeat(to, run + 1),
+                np.repeat(new, run + 1) - step,
+                step,
+                np.repeat(senders, run + 1),
+            )
+        )
+        left = new - run - 1
+        (at,) = np.nonzero((left >= 0) & wanted[np.maximum(left, 0)])
+        to = 2 * text[left[at]].astype(np.int64)
+        inside = to <= last
+        at, to = at[inside], to[inside]
+        if not at.size:
+            break
+        senders, new = total + ends[at] - 1, left[at]
+        total += int(ends[-1])
+    keys, places, step, senders = (np.concatenate(x) for x in zip(*rows))
+    there = senders < 0
+    rank = np.empty(keys.size, dtype=np.int64)
+    order = np.lexsort((step, keys))
+    while True:
+        rank[order] = np.arange(keys.size)
+        tie = np.where(there, senders, rank[np.maximum(senders, 0)])
+        now = np.lexsort((tie, step, keys))
+        if np.array_equal(now, order):
+            return keys[order], places[order]
+        order = now
+
+
 def induce(
     text: np.ndarray,
     letters: int,
@@ -180,10 +256,24 @@ def induce(
     order, prefixes = [], []
     before_key, before_place = -1, -1
     block = BLOCK
+    fours = in_fours(text) if sharing else None
+    equal_before = None if sharing else _equal_before(text)
     while True:
         keys, places, shared = queue.head(block)
         if not keys.size:
             break
+        end = int(keys[-1])
+        if not sharing and (whole := _with_received(text, wanted, equal_before, keys, places)):
+            keys, places = whole
+            left = places - 1
+            (from_,) = np.nonzero((left >= 0) & wanted[np.maximum(left, 0)])
+            to = 2 * text[left[from_]].astype(np.int64)
+            beyond = to > end
+            queue.drop(end + 1)
+            queue.push(to[beyond], left[from_[beyond]], np.zeros(int(beyond.sum()), np.int16))
+            order.append(places)
+            block = min(BLOCK, 2 * block)
+            continue
         left = places - 1
         sends = (left >= 0) & wanted[np.maximum(left, 0)]
         to = np.where(sends, 2 * text[np.maximum(left, 0)].astype(np.int64), -1)
@@ -209,7 +299,7 @@ def induce(
             prior = np.r_[before_place, places[:-1]]
             shared[fresh] = 0
             if meet.size:
-                shared[meet] = common_prefix(text, places[meet], prior[meet], cap)
+                shared[meet] = common_prefix(fours, places[meet], prior[meet], cap)
             prefixes.append(shared)
             letter = to >> 1
             by = np.argsort(letter, kind="stable")
@@ -305,35 +395,9 @@ def _sorted_seeds(text, letters, rising, scratch) -> np.ndarray:
         return order
     named = np.zeros(text.size, dtype=np.int64)
     named[order] = names
-    if names[-1] + 1 >= NEARLY_DIFFERENT * seeds.size:
-        return seeds[_by_doubling(named[seeds])]
     return seeds[suffix_order(named[seeds], int(names[-1]) + 1, scratch)]
 
 
-def _by_doubling(names: np.ndarray) -> np.ndarray:
-    """Order of suffixes where few names are equal: their groups are split by what
-    follows, twice as far each time."""
-    order = np.argsort(names, kind="stable")
-    n, step = names.size, 1
-    sorted_ = names[order]
-    fresh = np.r_[True, sorted_[1:] != sorted_[:-1]]
-    while not fresh.all():
-        group = np.nonzero(fresh)[0][np.cumsum(fresh) - 1]
-        rank = np.empty(n + 1, dtype=np.int64)
-        rank[order], rank[n] = group, -1
-        tied = ~fresh | ~np.r_[fresh[1:], True]
-        (at,) = np.nonzero(tied)
-        own = order[at]
-        after = rank[np.minimum(own + step, n)]
-        by = np.lexsort((after, group[at]))
-        order[at] = own[by]
-        after, own_group = after[by], group[at][by]
-        differs = np.r_[True, (after[1:] != after[:-1]) | (own_group[1:] != own_group[:-1])]
-        fresh[at] |= differs
-        step *= 2
-    return order
-
-
 def suffix_order(text: np.ndarray, letters: int, scratch: Scratch) -> np.ndarray:
     """Starts of all suffixes, sorted. `text` ends with its only 0."""
     if text.size == letters:
@@ -355,5 +419,5 @@ def suffixes(
     rising = _types(text)
     seeds = _sorted_seeds(text, letters, rising, scratch)
     shared = np.zeros(seeds.size, dtype=np.int16)
-    shared[1:] = common_prefix(text, seeds[1:], seeds[:-1], cap)
+    shared[1:] = common_prefix(in_fours(text), seeds[1:], seeds[:-1], cap)
     return _sweeps(text, letters, rising, seeds, shared, cap, scratch)

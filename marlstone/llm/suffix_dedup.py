@@ -113,8 +113,9 @@ class Fragments:
             ahead = np.minimum.accumulate(grid, axis=1).ravel()
             behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
             least = np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
-            (first,) = np.nonzero(np.r_[True, least[1:] != least[:-1]])
-            count = np.diff(np.r_[first, n])
+            first = np.flatnonzero(least[1:] != least[:-1]) + 1
+            first = np.concatenate(([0], first))
+            count = np.diff(first, append=n)
             anchor = hashes[(least[first] & np.uint64(0xFFFFFF)).astype(np.int64)]
             yield first + begin, count, anchor
 
@@ -467,6 +468,8 @@ def _found(
         shards = -(-total // SHARD_BYTES)
         sorted_ = (
             pieces.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+            # By the work: Spark would put shards together by their few bytes.
+            .repartition(shards, "shard")
             .groupBy("shard")
             .applyInPandas(
                 lambda frame: _sort_shard(frame, length),

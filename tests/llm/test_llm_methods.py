@@ -53,6 +53,24 @@ def test_induced_sorting(monkeypatch, block):
         assert (list(order), list(shared)) == sorted_suffixes(text, 7)
 
 
+def test_blocks_hold_what_they_receive(monkeypatch):
+    takes, head = [], induced_sorting.Queue.head
+
+    def counted(self, block):
+        takes.append(block)
+        return head(self, block)
+
+    monkeypatch.setattr(induced_sorting.Queue, "head", counted)
+    random_ = np.random.default_rng(5)
+    phrase = random_.integers(1, 200, 37)
+    text = np.r_[random_.integers(1, 200, 9000), np.tile(phrase, 120), [7] * 2000, 0]
+    with induced_sorting.Scratch() as scratch:
+        order = induced_sorting.suffix_order(text.astype(np.int64), 200, scratch)
+    text = text.tolist()
+    assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+    assert len(takes) < 60  # not one for each link of a run or name
+
+
 def test_repeated_windows():
     random_ = random.Random(3)
     shared = random_.randbytes(900)
