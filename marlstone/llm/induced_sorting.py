@@ -131,7 +131,7 @@ class Queue:
 def _range_minima(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """min(values[start:end]) for each pair, start < end."""
     length = end - start
-    level = np.frompyfunc(int.bit_length, 1, 1)(length).astype(np.int64) - 1
+    level = np.frexp(length)[1] - 1
     found = np.empty(length.size, dtype=values.dtype)
     table, width = values, 1
     for k in range(int(level.max()) + 1 if level.size else 0):

@@ -58,7 +58,7 @@ PASSAGE_LENGTH = 100
 """PASSAGE_WORDS + 1 words have 2 * PASSAGE_WORDS + 1 bytes at least."""
 PASSAGE_ANCHOR = 32
 
-SHARD_BYTES = 1_500_000
+SHARD_BYTES = 1_000_000
 """Fragments in a shard, on average."""
 
 GROUP_BYTES = 500_000
@@ -226,8 +226,17 @@ def _fragments(
 def _contents(
     documents: DataFrame, wanted: DataFrame, length: int, anchor: int, several: Anchors
 ) -> DataFrame:
-    """(anchor, name, content) of fragments in `wanted`, and of a few more."""
+    """(anchor, name, content) of fragments in `wanted`, and of a few more.
+
+    Each is cut from texts whose h1 is its `source`; others are passed over.
+    """
     own_words, own_hashes = several.words, several.hashes
+    sources = wanted.select(
+        F.col("source").alias("low"), F.xxhash64("source").alias("high")
+    ).distinct()
+    texts = bloom_words(
+        sources, bits_for(sources.count(), FILTER_RATE), FILTER_HASHES
+    )
     bits = bits_for(wanted.count(), FILTER_RATE)
     hashed = wanted.select(F.col("anchor").alias("low"), F.col("name").alias("high"))
     words = bloom_words(hashed, bits, FILTER_HASHES)
@@ -235,8 +244,9 @@ def _contents(
     def pick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter, seen = Fragments(length, anchor), set()
         for frame in frames:
+            low, high = (frame[c].to_numpy().view("uint64") for c in ("h1", "high"))
             rows = []
-            for raw in frame["raw"]:
+            for raw in frame["raw"][passes(texts, low, high, FILTER_HASHES)]:
                 first, count, own, name = _named(raw, cutter, own_words, own_hashes)
                 low, high = own.view("uint64"), name.view("uint64")
                 found = passes(words, low, high, FILTER_HASHES)
@@ -253,7 +263,7 @@ def _contents(
 
     return (
         _bytes_and_hashes(documents, length)
-        .select("raw")
+        .select("raw", "h1", F.xxhash64("h1").alias("high"))
         .mapInPandas(pick, "anchor long, name long, content binary")
         .dropDuplicates(FRAGMENT_COLUMNS)
     )
@@ -426,7 +436,9 @@ def _found(
     """Fragments with the first and last place, within them, of repeated strings."""
     different = stored(
         fragments.groupBy(*FRAGMENT_COLUMNS).agg(
-            F.count("*").alias("n"), F.first("count").alias("count")
+            F.count("*").alias("n"),
+            F.first("count").alias("count"),
+            F.min("h1").alias("source"),
         ),
         "suffix_different",
     )

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marlstone.llm import (
     decontamination,
@@ -509,3 +510,41 @@ def test_empty(empty, operator):
 def test_benchmark_without_items(docs, empty):
     none = empty.selectExpr("doc_id AS item_id", "text")
     assert decontamination.leaks(docs, none).count() == 0
+
+
+# -- columns and ids ------------------------------------------------------------
+
+NAMES = "_id id _h1 h1 h2 f1 f2 r1 r2 repeats may stripped judged _judged lang_rejected no_id first".split()
+
+
+@pytest.mark.parametrize(
+    "stage", [near_duplicates.stage, suffix_dedup.stage, decontamination.stage, language_id.stage]
+)
+def test_stages_keep_columns_of_any_name(spark, docs, tmp_path, stage):
+    own = F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("lang").cast("string"))
+    wide = docs.withColumns({name: F.concat(F.lit(name), own) for name in NAMES})
+    wide.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, ITEM)], "item_id int, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    wide = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = stage(spark, wide, str(tmp_path))
+    assert kept.columns == wide.columns
+    changed_ = " OR ".join(f"`{name}` <> concat('{name}', own)" for name in NAMES)
+    assert not kept.isEmpty() and kept.withColumn("own", own).where(changed_).isEmpty()
+
+
+@pytest.mark.parametrize(
+    "operator",
+    [
+        near_duplicates.near_duplicates,
+        near_duplicates.one_of_each,
+        suffix_dedup.remove_repeats,
+        lambda d: decontamination.leaks(d, d.limit(1).selectExpr("'a' AS item_id", f"'{ITEM}' AS text")),
+    ],
+)
+def test_ids_may_be_text(docs, operator):
+    named = docs.withColumn("doc_id", F.concat(F.lit("id-"), F.lpad("doc_id", 2, "0")))
+    ids = {r["doc_id"] for r in operator(named).collect()}
+    plain = {r["doc_id"] for r in operator(docs).collect()}
+    assert "id-17" in ids and ids == {n if n is None else f"id-{n:02}" for n in plain}
