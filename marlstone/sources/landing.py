@@ -1,7 +1,7 @@
 """Landed API responses -> bronze envelope.
 
 A landed response is one JSON text: one file each, or one line each for bulk
-loads. `*_records` turns responses into records, `envelope` turns records into
+loads, which name the coin in the line where responses have one. `*_records` turns responses into records, `envelope` turns records into
 bronze rows. All of it is a single narrow stage: no shuffle, no driver-side
 list. The same functions serve batch and streaming frames.
 """
@@ -21,18 +21,38 @@ _RESPONSE_OF_COIN = "value STRING, coin_id STRING"
 
 
 def read_responses(
-    spark: SparkSession, path: str, per_coin: bool = False, whole_files: bool = True
+    spark: SparkSession,
+    path: str,
+    per_coin: bool = False,
+    whole_files: bool = True,
+    named_lines: bool = False,
 ) -> DataFrame:
     """Responses under a landing folder: value, received_at [, coin_id].
 
-    `per_coin` reads coin_id=<id> folders. received_at is the file's
-    modification time: one response is one batch, and reading it again gives
-    the same rows.
+    `per_coin` reads coin_id=<id> folders; with `named_lines` lines as
+    `write_named_lines` leaves them, of which a file holds those of many coins.
+    received_at is the file's modification time: one response is one batch, and
+    reading it again gives the same rows.
     """
     reader = spark.read.schema(_RESPONSE_OF_COIN if per_coin else _RESPONSE)
+    if named_lines:
+        if not per_coin or whole_files:
+            raise ValueError("named_lines needs per_coin=True and whole_files=False")
+        named = reader.json(path, mode="FAILFAST")
+        # No folder can be named by an empty id either: it is read as NULL.
+        coin = F.nullif(F.col("coin_id"), F.lit("")).alias("coin_id")
+        return _with_arrival(named).select("value", coin, "received_at")
     return _with_arrival(reader.text(path, wholetext=whole_files))
 
 
+def write_named_lines(responses: DataFrame, path: str) -> None:
+    """Bulk load of responses (coin_id, value): a JSON object of the two a line.
+
+    A folder for each coin would be a file and a directory listing for each.
+    """
+    responses.select("coin_id", "value").write.json(path)
+
+
 def stream_responses(
     spark: SparkSession,
     path: str,

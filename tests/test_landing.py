@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,6 +112,47 @@ def test_details_and_prices_take_the_id_from_the_folder(spark, tmp_path):
     assert {r.source_updated_at for r in prices.collect()} == {None}
 
 
+def test_bulk_lines_name_their_coin(spark, tmp_path):
+    """Any id and text comes back; files and folders do not grow with the coins."""
+    odd = [("a/b=c", '{"x": "1\\n2"}'), ("7", "two\nlines"), ("7", "two\nlines"), ("", "{}"),
+           (None, "é \u2028")]
+    many = [(str(k), "{}") for k in range(100, 400)]
+    folder = tmp_path / "d"
+    rows = spark.createDataFrame(odd + many, "coin_id string, value string").repartition(3)
+    landing.write_named_lines(rows, str(folder))
+    assert len(list(folder.rglob("*.json"))) <= 3
+    assert not [p for p in folder.iterdir() if p.is_dir()]
+    read = landing.read_responses(
+        spark, str(folder), per_coin=True, whole_files=False, named_lines=True
+    )
+    found = Counter((r.coin_id, r.value) for r in read.collect())
+    # An empty id is NULL, as the name of a folder it would be too.
+    assert found == Counter([(c or None, v) for c, v in odd + many])
+    assert read.where("received_at IS NULL").count() == 0
+    with pytest.raises(ValueError, match="named_lines"):
+        landing.read_responses(spark, str(folder), per_coin=True, named_lines=True)
+
+
+@pytest.mark.parametrize("query", ["landing_coin_details"])
+def test_landed_responses_of_coins_need_no_folder_each(spark, tmp_path, monkeypatch, query):
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(entry, "shared_dir", lambda _, purpose: str(tmp_path / purpose))
+    parts = spark.range(60).selectExpr(
+        "id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "'t' AS p_type",
+        "1 AS p_size", "2.0D AS p_retailprice",
+    )
+    parts.coalesce(2).write.parquet(str(tmp_path / "part.parquet"))
+    events = spark.range(60).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id AS user_id",
+        "'e' AS event_type", "1.5D AS value", "'{}' AS props",
+    )
+    events.coalesce(2).write.parquet(str(tmp_path / "events.parquet"))
+    rows = entry.queries()[query](spark, str(tmp_path)).collect()
+    assert len(rows) == (60 if query == "landing_coin_details" else 120)
+    assert not [p for p in (tmp_path / query).iterdir() if p.is_dir()]
+
+
 def test_malformed_details_are_set_aside_when_not_strict(spark):
     df = spark.createDataFrame([("a", "{bad"), ("b", "{}")], "coin_id string, value string")
     records = landing.coin_details_records(df)
