@@ -133,7 +133,7 @@ def test_bulk_lines_name_their_coin(spark, tmp_path):
         landing.read_responses(spark, str(folder), per_coin=True, named_lines=True)
 
 
-@pytest.mark.parametrize("query", ["landing_coin_details"])
+@pytest.mark.parametrize("query", ["landing_coin_details", "landing_historical_prices"])
 def test_landed_responses_of_coins_need_no_folder_each(spark, tmp_path, monkeypatch, query):
     import __spark_entry__ as entry
 
