@@ -24,9 +24,13 @@ MAX_PIECE = 64
 #: Characters on which this cutting and the library's normalizers agree.
 ORDINARY = re.compile(r"[\t\n\r\x20-\x7e¡-ÿ]*")
 
-#: The patterns of the two vocabulary files.
-WORD_END_PATTERN = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Letters and numbers among the ordinary characters.
+_LETTERS, _NUMBERS = "a-zA-ZªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾"
+
+#: The patterns of the two vocabulary files. The first is written out for
+#: ordinary characters, on which it finds the same pieces at half the time.
+WORD_END_PATTERN = re.compile(
+    rf"[{_LETTERS}]+|[{_NUMBERS}]|'(?:[stmd]|re|ve|ll)|[^\s{_LETTERS}{_NUMBERS}]+"
 )
 BYTE_LEVEL_PATTERN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -73,7 +77,10 @@ class Encoder:
         for p in pieces:
             ids = self.old.get(p)
             if ids is None:
-                letters = p.encode().decode("latin-1").translate(BYTE_LETTERS)
+                # Plain letters are written as they are.
+                letters = p
+                if not (p.isascii() and p.isalnum()):
+                    letters = p.encode().decode("latin-1").translate(BYTE_LETTERS)
                 ids = _packed([t.id for t in self.merges.tokenize(letters)])
             (self.young if len(p) <= MAX_PIECE else long_ones)[p] = ids
         return long_ones

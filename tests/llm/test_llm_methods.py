@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -252,6 +253,21 @@ def test_shingles():
     assert shingles(hashes.of("a b c d e f a b c d e"), 5).size == 6
 
 
+def test_word_end_pieces_of_ordinary_characters_need_no_unicode_classes():
+    """The pieces of the file's own pattern, by the faster module."""
+    import regex
+
+    own = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    assert isinstance(word_cache.WORD_END_PATTERN, re.Pattern)
+    ordinary = [chr(c) for c in range(0x110000) if word_cache.ORDINARY.fullmatch(chr(c))]
+    odd = ["'", "s", "re", "ve", "ll", "'d", "'T", "--", " ", "\n", "é", "²", "12"]
+    texts = ["".join(ordinary), *(f"a{c}b{c}{c} {c}'s" for c in ordinary)]
+    texts += ["".join(p) for p in itertools.product(odd, repeat=3)]
+    for text in texts:
+        for read in (text, text.lower()):
+            assert word_cache.WORD_END_PATTERN.findall(read) == own.findall(read)
+
+
 @pytest.mark.parametrize(
     "name, pattern, lowers",
     [
