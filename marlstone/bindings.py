@@ -5,6 +5,8 @@ series, in groups whose size is bounded by construction, so that the work grows
 with the tables and no group grows with them.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,24 +110,30 @@ def coin_detail_responses(part: DataFrame) -> DataFrame:
 def historical_price_responses(events: DataFrame) -> DataFrame:
     """Two price payloads per (user, chunk of events): a stale one, then the
     one to keep. Columns: coin_id = `<user>-<chunk>`, value, ingested_at."""
-    millis = F.unix_millis(from_utc_wall_clock(F.col("ts")))
-    pair = F.concat(F.lit("["), millis, F.lit(","), F.col("value"), F.lit("]"))
-    stale_pair = F.concat(F.lit("["), millis, F.lit(",-1]"))
+    point = F.struct(
+        F.unix_millis(from_utc_wall_clock(F.col("ts"))).alias("at"),
+        F.col("value").alias("price"),
+    )
+    # Numbers are brought together once, both texts are made of them afterwards.
     chunks = events.groupBy(
         "user_id", F.floor(F.col("event_id") / POINTS_PER_PAYLOAD).alias("_chunk")
-    ).agg(
-        F.collect_list(pair).alias("_kept"), F.collect_list(stale_pair).alias("_stale")
-    )
+    ).agg(F.collect_list(point).alias("_points"))
 
-    def payload(ingested_at: str, pairs: str) -> Column:
-        text = F.concat(F.lit('{"prices":['), F.concat_ws(",", pairs), F.lit("]}"))
+    def payload(ingested_at: str, pair: Callable[[Column], Column]) -> Column:
+        # concat_ws leaves out the pairs that are NULL, as a part of them is.
+        pairs = F.concat_ws(",", F.transform("_points", pair))
+        text = F.concat(F.lit('{"prices":['), pairs, F.lit("]}"))
         return F.struct(F.lit(ingested_at).alias("ingested_at"), text.alias("value"))
 
+    def kept(p: Column) -> Column:
+        return F.concat(F.lit("["), p["at"], F.lit(","), p["price"], F.lit("]"))
+
+    def stale(p: Column) -> Column:
+        return F.concat(F.lit("["), p["at"], F.lit(",-1]"))
+
     return chunks.select(
         F.concat_ws("-", "user_id", "_chunk").alias("coin_id"),
-        F.inline(
-            F.array(payload(LOADED_BEFORE, "_stale"), payload(LOADED_AT, "_kept"))
-        ),
+        F.inline(F.array(payload(LOADED_BEFORE, stale), payload(LOADED_AT, kept))),
     )
 
 

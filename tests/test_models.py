@@ -239,3 +239,26 @@ def test_watchlist_of_a_hot_coin_is_whole(spark):
         lists, users(spark, *range(100)), gold.market_summary(stg)
     )
     assert got.count() == 30_000
+
+
+def test_price_payloads_leave_out_points_without_a_part(spark):
+    """Both texts are made of one list: a NULL time has no pair, a NULL value none to keep."""
+    from marlstone import bindings as B
+
+    at = "timestamp_ntz'2024-01-01 00:00:01'"
+    events = spark.sql(
+        f"SELECT * FROM VALUES (1L, 7L, {at}, 1.5D), (2L, 7L, {at}, NULL), (3L, 7L, NULL, 2D),"
+        f" (600L, 8L, NULL, 2D), (4L, NULL, {at}, 0.1D) AS t(event_id, user_id, ts, value)"
+    )
+    responses = B.historical_price_responses(events)
+    lists = [f.name for f in responses.schema if f.name.startswith("_")]
+    assert not lists and str(responses._jdf.queryExecution().analyzed()).count("collect_list(") == 1
+    found = sorted((r.coin_id, r.ingested_at == B.LOADED_AT, r.value) for r in responses.collect())
+    assert found == [
+        ("0", False, '{"prices":[[1704067201000,-1]]}'),
+        ("0", True, '{"prices":[[1704067201000,0.1]]}'),
+        ("7-0", False, '{"prices":[[1704067201000,-1],[1704067201000,-1]]}'),
+        ("7-0", True, '{"prices":[[1704067201000,1.5]]}'),
+        ("8-1", False, '{"prices":[]}'),
+        ("8-1", True, '{"prices":[]}'),
+    ]
