@@ -6,10 +6,12 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from marlstone.llm import (
+    common,
     decontamination,
     language_id,
     license_scan,
@@ -548,3 +550,26 @@ def test_ids_may_be_text(docs, operator):
     ids = {r["doc_id"] for r in operator(named).collect()}
     plain = {r["doc_id"] for r in operator(docs).collect()}
     assert "id-17" in ids and ids == {n if n is None else f"id-{n:02}" for n in plain}
+
+
+def test_long_texts_go_to_workers_in_small_batches(spark):
+    """A batch is bounded in bytes; a session's own setting stays."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    assert common.BATCH_BYTES <= 4 << 20
+    texts = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+
+    def sizes(frames):
+        for frame in frames:
+            yield pd.DataFrame({"bytes": [int(frame["text"].str.len().sum())]})
+
+    before = spark.conf.get(setting, None)
+    try:
+        spark.conf.unset(setting)
+        found = common.stored(texts.mapInPandas(sizes, "bytes long"), "batches").collect()
+        assert sum(r.bytes for r in found) == 20_000_000
+        assert max(r.bytes for r in found) <= 2 * common.BATCH_BYTES
+        spark.conf.set(setting, "1000000")
+        common.bounded_batches(spark)
+        assert spark.conf.get(setting) == "1000000"
+    finally:
+        spark.conf.set(setting, before or str(common.BATCH_BYTES))
