@@ -126,17 +126,7 @@ def _parts(documents: DataFrame, seed_rows: DataFrame) -> DataFrame:
         sorted(r["mask"] for r in seed_rows.select("mask").distinct().collect())
     )
     bits = bits_for(seed_rows.count(), FILTER_RATE)
-
-    def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            low, high = mixed_pair(frame["hash"].to_numpy().view("uint64"))
-            yield pd.DataFrame({"low": low.view("int64"), "high": high.view("int64")})
-
-    filled = bloom_words(
-        seed_rows.select("hash").mapInPandas(pair, "low long, high long"),
-        bits,
-        FILTER_HASHES,
-    )
+    filled = bloom_words(seed_rows, bits, FILTER_HASHES, single="hash")
 
     def hits_of(texts: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
         """(place, mask, hash) of the passing seeds of each text, all at once."""

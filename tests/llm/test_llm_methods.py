@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from marlstone.llm import (
@@ -299,3 +300,30 @@ def test_matching_keys():
     assert keys[0] == "a.example.org/es/" and keys[-1] == "org"
     assert "example.org/" in keys and len(keys) == 9
     assert url_filter.matching_keys("", "", [0, 1]) == []
+
+
+def test_a_shard_is_sorted_in_bounded_parts_of_whole_keys(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = []
+    for key in range(12):
+        core = rng.bytes(60)
+        for k in range(int(rng.integers(1, 5))):
+            content = rng.bytes(30) + core + rng.bytes(30)
+            rows.append((key, 10 * key + k, 1 + k % 2, 0, key, content))
+    columns = [*suffix_dedup.FRAGMENT_COLUMNS, "n", "first", "key", "content"]
+    frame = pd.DataFrame(rows, columns=columns).sample(frac=1, random_state=1)
+    whole = suffix_dedup._sort_shard(frame, 40)
+    sizes, sort = [], suffix_dedup.repeated_in
+
+    def kept(contents, length):
+        sizes.append(sum(map(len, contents)))
+        return sort(contents, length)
+
+    monkeypatch.setattr(suffix_dedup, "repeated_in", kept)
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 600)
+    parts = suffix_dedup._sort_shard(frame, 40)
+    assert len(whole) and len(sizes) > 3 and max(sizes) <= 600
+    order = ["anchor", "name", "begin", "end"]
+    assert sorted(whole[order].itertuples(index=False)) == sorted(
+        parts[order].itertuples(index=False)
+    )

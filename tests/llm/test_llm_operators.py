@@ -573,3 +573,22 @@ def test_long_texts_go_to_workers_in_small_batches(spark):
         assert spark.conf.get(setting) == "1000000"
     finally:
         spark.conf.set(setting, before or str(common.BATCH_BYTES))
+
+def test_a_filter_of_single_hashes_takes_one_python_step(spark, monkeypatch):
+    """Chained Python steps hold two workers for each task; the filter is the same."""
+    keys = np.random.default_rng(3).integers(-(2**63), 2**63, 500, dtype=np.int64)
+    df = spark.createDataFrame([(int(k),) for k in keys], "anchor long")
+    steps, plain = [], type(df).mapInPandas
+
+    def counted(self, *args, **kwargs):
+        steps.append(args[1])
+        return plain(self, *args, **kwargs)
+
+    monkeypatch.setattr(type(df), "mapInPandas", counted)
+    bits = common.bits_for(keys.size, 0.01)
+    words = common.bloom_words(df, bits, 7, single="anchor")
+    assert len(steps) == 1
+    low, high = common.mixed_pair(keys.view("uint64"))
+    assert common.passes(words, low, high, 7).all()
+    at = np.unique(common.positions(low, high, bits, 7))
+    assert int(np.bitwise_count(words).sum()) == at.size
